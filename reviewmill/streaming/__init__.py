@@ -1,0 +1 @@
+"""No stream operators: every step of the review workflow is a batch job."""
