@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions.porter import stem
 from reviewmill.operators.lookup import lookup
-from reviewmill.operators.terms import regrouped
+from reviewmill.operators.terms import occurrences_of, regrouped
 from reviewmill.session import materialise
 
 # Noun suffix rules of the WordNet morphology (morphy, public documentation).
@@ -101,10 +101,10 @@ def consolidated_pairs(pairs: DataFrame, forms: DataFrame) -> DataFrame:
 
 def consolidated_documents(documents: DataFrame, forms: DataFrame) -> DataFrame:
     """Token arrays with every token replaced by its form; order and duplicates stay."""
-    occurrences = documents.select("doc_id", F.posexplode("tokens").alias("pos", "token"))
-    replaced = lookup(
-        occurrences, forms.withColumnRenamed("term", "token"), "token", "doc_id", "left"
-    ).select("doc_id", "pos", F.coalesce("form", "token").alias("token"))
+    by_token = forms.withColumnRenamed("term", "token")
+    replaced = lookup(occurrences_of(documents), by_token, "token", "doc_id", "left").select(
+        "doc_id", "pos", F.coalesce("form", "token").alias("token")
+    )
     return regrouped(replaced, documents)
 
 

@@ -16,6 +16,7 @@ from reviewmill.functions.values import standard_score
 from reviewmill.operators import profile
 from reviewmill.operators.lookup import lookup
 from reviewmill.operators.ordering import with_ordinal
+from reviewmill.session import materialise
 
 
 @dataclass(frozen=True)
@@ -106,6 +107,11 @@ def side_by_side(blocks: Sequence[Block]) -> Block:
     return Block(entries, offset)
 
 
+def written(block: Block) -> Block:
+    """The block with its non-zero entries as a written table, for blocks that several inputs use."""
+    return Block(materialise(block.entries.where("value != 0"), "block"), block.width)
+
+
 def assembled(documents: DataFrame, block: Block) -> DataFrame:
     """``(doc_id, features)`` as ML vectors, one per document; documents without entries are zero.
 

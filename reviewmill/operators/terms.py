@@ -65,9 +65,18 @@ def drop_words(documents: DataFrame, words: DataFrame) -> DataFrame:
 
 def _drop_by_join(documents: DataFrame, words: DataFrame) -> DataFrame:
     flagged = words.withColumn("_listed", F.lit(True))
-    occurrences = documents.select("doc_id", F.posexplode("tokens").alias("pos", "token"))
-    kept = lookup(occurrences, flagged, "token", "doc_id", "left").where("_listed IS NULL")
-    return regrouped(kept, documents)
+    kept = lookup(occurrences_of(documents), flagged, "token", "doc_id", "left")
+    return regrouped(kept.where("_listed IS NULL"), documents)
+
+
+def occurrences_of(documents: DataFrame) -> DataFrame:
+    """``(doc_id, pos, token)``, one row per token.
+
+    The explode takes an expression: for a plain column Spark adds a not-empty filter and pushes it
+    down to the scan, where the tokens would be made a second time.
+    """
+    tokens = F.slice("tokens", F.lit(1), F.size("tokens"))
+    return documents.select("doc_id", F.posexplode(tokens).alias("pos", "token"))
 
 
 def regrouped(occurrences: DataFrame, documents: DataFrame) -> DataFrame:

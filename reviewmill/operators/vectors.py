@@ -19,12 +19,35 @@ VECTOR_BLOCK_BYTES = 256 * 1024 * 1024
 
 
 def term_pairs(documents: DataFrame) -> DataFrame:
-    """``(doc_id, term, tf)`` from token arrays, counted within a task before the shuffle."""
-    return (
-        documents.select("doc_id", F.explode("tokens").alias("term"))
-        .groupBy("doc_id", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
+    """``(doc_id, term, tf)`` from token arrays, counted without a shuffle and written once.
+
+    A document is one row, so its sorted tokens are cut into runs of equal terms inside that row. All
+    pairs of a document stay together, and later sums per document finish before their shuffle.
+    Every feature reads the pairs; written, they also keep later filters from being pushed into the
+    run expressions, where Spark would evaluate the sort once per token.
+    """
+    tokens, bounds, length = F.col("_sorted"), F.col("_bounds"), F.size("_sorted")
+    starts = F.filter(
+        F.slice(F.sequence(F.lit(0), length), F.lit(1), length),
+        lambda i: (i == 0) | (F.get(tokens, i) != F.get(tokens, i - 1)),
+    )
+    # The explode takes an expression: for a plain column Spark adds such a filter itself.
+    runs = (
+        documents.select("doc_id", F.sort_array("tokens").alias("_sorted"))
+        .withColumn("_bounds", F.concat(starts, F.array(length)))
+        .select(
+            "doc_id",
+            "_sorted",
+            "_bounds",
+            F.posexplode(F.slice(bounds, F.lit(1), F.size(bounds) - 1)).alias("_run", "_start"),
+        )
     )
+    pairs = runs.select(
+        "doc_id",
+        F.get(tokens, F.col("_start")).alias("term"),
+        (F.get(bounds, F.col("_run") + 1) - F.col("_start")).cast("bigint").alias("tf"),
+    )
+    return materialise(pairs, "pairs")
 
 
 def count_vectors(pairs: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -32,9 +55,9 @@ def count_vectors(pairs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return lookup(pairs, vocabulary, "term", "doc_id").select("doc_id", "idx", "tf")
 
 
-def inverse_document_frequency(pairs: DataFrame, documents: DataFrame) -> DataFrame:
-    """``(term, idf)`` with ``idf = ln((1 + n) / (1 + df)) + 1``; ``n`` counts empty documents too."""
-    n = documents.agg(F.count(F.lit(1))).scalar()
+def inverse_document_frequency(pairs: DataFrame, reviews: DataFrame) -> DataFrame:
+    """``(term, idf)`` with ``idf = ln((1 + n) / (1 + df)) + 1``; ``n`` counts empty reviews too."""
+    n = reviews.agg(F.count(F.lit(1))).scalar()
     return pairs.groupBy("term").agg(
         (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.count(F.lit(1)))) + 1).alias("idf")
     )
@@ -58,21 +81,26 @@ def occurrence_weights(pairs: DataFrame, idf: DataFrame) -> DataFrame:
 
 
 def mean_vectors(
-    documents: DataFrame,
+    reviews: DataFrame,
     pairs: DataFrame,
     vectors: DataFrame,
     weight: str = "tf",
     block_bytes: int = VECTOR_BLOCK_BYTES,
 ) -> DataFrame:
-    """``(doc_id, vector)``: the weighted mean word vector of every document.
+    """``(doc_id, vector)``: the weighted mean word vector of every review.
 
-    Terms without a vector are dropped. A document whose weights sum to 0 gets the plain mean over
-    occurrences, one without any vector gets zeros. Word vectors go to the documents, never the
-    other way: each block of them is broadcast and summed up where the pairs lie, so what is shuffled
-    is one partial sum per document and not one vector per pair.
+    Terms without a vector are dropped. A review whose weights sum to 0 gets the plain mean over
+    occurrences, one without any vector gets zeros. Word vectors go to the pairs, never the other
+    way: each block of them is broadcast and summed up where the pairs lie, so what is shuffled is
+    one partial sum per document and not one vector per pair.
     """
     dim = width(vectors)
     blocks = max(1, math.ceil(vectors.count() * (8 * dim + 64) / block_bytes))
+    found = None
+    for block in range(blocks):
+        some = vectors.where(F.pmod(F.xxhash64("term"), F.lit(blocks)) == block)
+        part = pairs.join(F.broadcast(some), "term")
+        found = part if found is None else found.unionByName(part)
     # With other weights than tf, the plain sums are needed for documents of weight 0.
     kinds = [weight] if weight == "tf" else [weight, "tf"]
     sums = [F.sum(kind).alias(f"_{kind}_sum") for kind in kinds] + [
@@ -80,31 +108,17 @@ def mean_vectors(
         for kind in kinds
         for i in range(dim)
     ]
-    parts = None
-    for block in range(blocks):
-        some = vectors.where(F.pmod(F.xxhash64("term"), F.lit(blocks)) == block)
-        part = pairs.join(F.broadcast(some), "term").groupBy("doc_id").agg(*sums)
-        parts = part if parts is None else parts.unionByName(part)
-    if blocks > 1:
-        names = [c for c in parts.columns if c != "doc_id"]
-        parts = parts.groupBy("doc_id").agg(*[F.sum(c).alias(c) for c in names])
 
     def mean(kind: str) -> Column:
         return F.array(*[F.col(f"_{kind}_{i}") / F.col(f"_{kind}_sum") for i in range(dim)])
 
+    means = [F.when(F.col(f"_{kind}_sum") > 0, mean(kind)) for kind in kinds]
+    averaged = found.groupBy("doc_id").agg(*sums).select("doc_id", F.coalesce(*means).alias("_mean"))
     zeros = F.array_repeat(F.lit(0.0), dim)
-    vector = F.coalesce(
-        *[F.when(F.col(f"_{kind}_sum") > 0, mean(kind)) for kind in kinds], zeros
-    )
-    return documents.select("doc_id").join(parts, "doc_id", "left").select(
-        "doc_id", vector.alias("vector")
+    return reviews.select("doc_id").join(averaged, "doc_id", "left").select(
+        "doc_id", F.coalesce("_mean", zeros).alias("vector")
     )
 
 
-def written_pairs(documents: DataFrame) -> DataFrame:
-    """The pairs as a written table, for the several features that read them."""
-    return materialise(term_pairs(documents), "pairs")
-
-
-def written_idf(pairs: DataFrame, documents: DataFrame) -> DataFrame:
-    return materialise(inverse_document_frequency(pairs, documents), "idf")
+def written_idf(pairs: DataFrame, reviews: DataFrame) -> DataFrame:
+    return materialise(inverse_document_frequency(pairs, reviews), "idf")

@@ -214,18 +214,16 @@ def stem_map(spark, sf):
     return consolidate.stem_map(_stats(spark, sf).select("term"))
 
 
-@registered
-def consolidate_terms(spark, sf):
+def consolidated(spark, sf):
     """Counts after mapping every term to a supplied form, here its first five letters."""
-    pairs = vectors.written_pairs(_cleaned(spark, sf))
+    pairs = vectors.term_pairs(_cleaned(spark, sf))
     forms = materialise(
         pairs.select("term").distinct().withColumn("form", F.substring("term", 1, 5)), "forms"
     )
-    return terms_after(consolidate.consolidated_pairs(pairs, forms))
+    return consolidate.term_counts(consolidate.consolidated_pairs(pairs, forms))
 
 
-def terms_after(pairs):
-    return consolidate.term_counts(pairs).select("term", "cnt", "df")
+REGISTERED["consolidate"] = consolidated
 
 
 # Vectors ------------------------------------------------------------------------------------
@@ -256,7 +254,7 @@ def ptitle_count_vectors(spark, sf):
 @registered
 def tfidf(spark, sf):
     corpus = _prepared(spark, sf)
-    pairs = vectors.written_pairs(corpus.documents)
+    pairs = vectors.term_pairs(corpus.documents)
     weights = vectors.tfidf(pairs, vectors.written_idf(pairs, _texts(spark, sf)))
     return rounded(weights, "weight")
 
@@ -280,12 +278,12 @@ def _long(vectors_of):
 
 
 def _means(spark, sf, documents, known, weighted):
-    vectors_of = _vectors(spark, sf, known)
+    vectors_of, reviews = _vectors(spark, sf, known), _texts(spark, sf)
+    pairs = vectors.term_pairs(documents)
     if not weighted:
-        return vectors.mean_vectors(documents, vectors.term_pairs(documents), vectors_of)
-    pairs = vectors.written_pairs(documents)
-    weights = vectors.occurrence_weights(pairs, vectors.written_idf(pairs, documents))
-    return vectors.mean_vectors(documents, weights, vectors_of, "weight")
+        return vectors.mean_vectors(reviews, pairs, vectors_of)
+    weights = vectors.occurrence_weights(pairs, vectors.written_idf(pairs, reviews))
+    return vectors.mean_vectors(reviews, weights, vectors_of, "weight")
 
 
 @registered
@@ -522,10 +520,11 @@ def feature_stats(spark, sf):
     titles = vectors.term_pairs(_title_documents(spark, sf))
 
     def counted(pairs):
-        return Block(features.counts_to_entries(vectors.count_vectors(pairs, known)), size)
+        return features.written(
+            Block(features.counts_to_entries(vectors.count_vectors(pairs, known)), size)
+        )
 
-    body = counted(vectors.written_pairs(corpus.documents))
-    title = counted(titles)
+    body, title = counted(vectors.term_pairs(corpus.documents)), counted(titles)
     blocks = {"body": body, "title": title, "body_title": features.side_by_side([body, title])}
     stats = [
         features.block_stats(documents, block).select(F.lit(name).alias("block"), "*")
@@ -538,9 +537,10 @@ def _inputs(spark, sf):
     corpus = _prepared(spark, sf)
     known = _vocabulary(corpus)
     word_vectors = _vectors(spark, sf, known)
-    body = inputs.text_blocks(corpus.documents, known, word_vectors)
-    title = inputs.text_blocks(_title_documents(spark, sf), known, word_vectors)
-    metadata = _metadata(spark, sf, known)
+    reviews = _texts(spark, sf)
+    body = inputs.text_blocks(corpus.documents, reviews, known, word_vectors)
+    title = inputs.text_blocks(_title_documents(spark, sf), reviews, known, word_vectors)
+    metadata = features.written(_metadata(spark, sf, known))
     return {
         (scope, representation): inputs.scoped(body, title, metadata, scope, representation)
         for scope in metrics.SCOPES
@@ -695,6 +695,3 @@ def grid_text(spark, sf):
     body = {key: block for key, block in _inputs(spark, sf).items() if key[0] == metrics.SCOPES[0]}
     predictions = grid.grid_predictions(body, _labelled(spark, sf))
     return grid.results(predictions).drop("scope")
-
-
-REGISTERED["consolidate"] = REGISTERED.pop("consolidate_terms")
