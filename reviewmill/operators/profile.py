@@ -183,8 +183,9 @@ def class_histograms(
     def bin_of(c: str) -> Column:
         low, high = F.col("_bounds").getField(c)["low"], F.col("_bounds").getField(c)["high"]
         place = F.floor(F.try_divide((F.col(c).cast("double") - low) * bins, high - low))
-        one_value = F.when(F.col(c).isNotNull(), F.lit(0))
-        return F.least(F.coalesce(place, one_value), F.lit(bins - 1)).cast("bigint")
+        # A column of one value has a single bin; its highest value belongs to the last bin.
+        placed = F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("bigint")
+        return F.when(F.col(c).isNotNull(), placed)
 
     return (
         labelled.select(
