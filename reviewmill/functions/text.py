@@ -34,11 +34,6 @@ def without(tokens: Column, words: Collection[str]) -> Column:
     return F.filter(tokens, lambda token: ~token.isin(listed)) if listed else tokens
 
 
-def without_array(tokens: Column, words: Column) -> Column:
-    """Drop the words of a short array column."""
-    return F.filter(tokens, lambda token: ~F.array_contains(words, token))
-
-
 def joined(tokens: Column) -> Column:
     return F.array_join(tokens, " ")
 

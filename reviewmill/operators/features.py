@@ -128,7 +128,7 @@ def assembled(documents: DataFrame, block: Block) -> DataFrame:
         block.entries.where("value != 0")
         .join(documents.select("doc_id"), "doc_id", "left_semi")
         .groupBy("doc_id")
-        .agg(F.array_sort(F.collect_list(F.struct("idx", "value"))).alias("_entries"))
+        .agg(F.sort_array(F.collect_list(F.struct("idx", "value"))).alias("_entries"))
     )
     indexes = F.coalesce(F.col("_entries.idx").cast("array<int>"), F.array().cast("array<int>"))
     numbers = F.coalesce("_entries.value", F.array().cast("array<double>"))

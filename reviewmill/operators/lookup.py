@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewmill.session import materialise
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Room for the non-key columns of one row (numbers) and the hash table's own overhead.
 ROW_OVERHEAD = 64
@@ -40,7 +42,8 @@ def lookup(
 
 def _salted_join(facts: DataFrame, table: DataFrame, key: str, spread_by: str, how: str) -> DataFrame:
     tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    # Written, as three parts of the plan read them.
+    counts = materialise(facts.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")), "key-counts")
     fair_share = counts.agg(F.sum("_rows") / F.lit(tasks)).scalar()
     # A hot key holds more than 1/tasks of all rows, so there are fewer than `tasks` of them.
     hot = (

@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 
 from reviewmill.session import materialise
 
-# Rows of (partition, group) offsets that may be broadcast; a few numbers and a group name each.
-SPAN_ROWS = 500_000
+# Rows per group, or per partition and group, that may be broadcast: a group name and some numbers.
+FEW_ROWS = 500_000
 
 
-def _broadcast_spans(spans: DataFrame) -> DataFrame:
-    few = spans.limit(SPAN_ROWS + 1).count() <= SPAN_ROWS
-    return F.broadcast(spans) if few else spans
+def broadcast_if_few(rows: DataFrame) -> DataFrame:
+    few = rows.limit(FEW_ROWS + 1).count() <= FEW_ROWS
+    return F.broadcast(rows) if few else rows
 
 
 def with_ordinal(
@@ -49,7 +49,7 @@ def with_ordinal(
         (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
     )
     return (
-        placed.join(_broadcast_spans(shifts), ["_part", *within])
+        placed.join(broadcast_if_few(shifts), ["_part", *within])
         .withColumn(name, F.col("_at") + F.col("_shift"))
         .drop("_at", "_part", "_shift")
     )
@@ -76,7 +76,7 @@ def with_running_total(
     inside = Window.partitionBy("_part", *within).orderBy(*order_by)
     return (
         placed.withColumn("_inside", F.sum(value).over(inside))
-        .join(_broadcast_spans(before), ["_part", *within])
+        .join(broadcast_if_few(before), ["_part", *within])
         .withColumn(name, F.col("_before") + F.col("_inside"))
         .drop("_part", "_inside", "_before")
     )
@@ -100,7 +100,7 @@ def quantiles_of_counted(
     ``probs`` maps output column names to probabilities.
     """
     sizes = counted.groupBy(*within).agg(F.sum("n").alias("_size"))
-    ranked = counted.join(_broadcast_spans(sizes), list(within))
+    ranked = counted.join(broadcast_if_few(sizes), list(within))
 
     def at(rank):
         covers = (F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto"))

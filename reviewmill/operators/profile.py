@@ -150,8 +150,7 @@ def class_distributions(table: DataFrame, columns: Sequence[str], label: str) ->
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = (F.col("value") >= F.col("q1") - reach) & (F.col("value") <= F.col("q3") + reach)
     return (
-        # One box per column and class: a few rows.
-        counted.join(F.broadcast(boxes), group)
+        counted.join(ordering.broadcast_if_few(boxes), group)
         .groupBy(*group, "q1", "median", "q3")
         .agg(
             F.sum("n").alias("n"),

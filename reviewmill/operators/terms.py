@@ -83,7 +83,7 @@ def regrouped(occurrences: DataFrame, documents: DataFrame) -> DataFrame:
     """Token arrays again from ``(doc_id, pos, token)``; documents left without tokens get ``[]``."""
     # A group is one document, so it is no larger than an input row.
     arrays = occurrences.groupBy("doc_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda o: o["token"])
+        F.transform(F.sort_array(F.collect_list(F.struct("pos", "token"))), lambda o: o["token"])
         .alias("tokens")
     )
     return documents.select("doc_id").join(arrays, "doc_id", "left").select(
@@ -105,19 +105,15 @@ def drop_singletons(documents: DataFrame, stats: DataFrame) -> DataFrame:
     tokens = F.col("tokens")
     positions = F.sequence(F.lit(0), F.size(tokens) - 1)
     kept = F.transform(F.array_except(positions, F.col("_gone")), lambda at: F.get(tokens, at))
-    return documents.join(gone, "doc_id", "left").select(
+    # The positions of a partition are small next to its tokens: hash them, do not sort the tokens.
+    return documents.join(gone.hint("shuffle_hash"), "doc_id", "left").select(
         "doc_id", F.when(F.col("_gone").isNull(), tokens).otherwise(kept).alias("tokens")
     )
 
 
 def drop_top(documents: DataFrame, top: DataFrame) -> DataFrame:
     """Drop the terms of a top-k table from every token array."""
-    words = top.agg(F.collect_list("term")).scalar()
-    return (
-        documents.withColumn("_top", words)
-        .withColumn("tokens", text.without_array(F.col("tokens"), F.col("_top")))
-        .drop("_top")
-    )
+    return drop_words(documents, top.select("term"))
 
 
 def stage_summary(reviews: DataFrame, stopwords: DataFrame, k: int = 20, column: str = "review_text"):

@@ -85,12 +85,14 @@ def mean_vectors(
     pairs: DataFrame,
     vectors: DataFrame,
     weight: str = "tf",
+    may_be_zero: bool = False,
     block_bytes: int = VECTOR_BLOCK_BYTES,
 ) -> DataFrame:
     """``(doc_id, vector)``: the weighted mean word vector of every review.
 
-    Terms without a vector are dropped. A review whose weights sum to 0 gets the plain mean over
-    occurrences, one without any vector gets zeros. Word vectors go to the pairs, never the other
+    Terms without a vector are dropped; a review without any gets zeros. Weights from the same
+    corpus are above 0. With weights from another, set ``may_be_zero``: a review whose weights sum
+    to 0 then gets the plain mean over occurrences. Word vectors go to the pairs, never the other
     way: each block of them is broadcast and summed up where the pairs lie, so what is shuffled is
     one partial sum per document and not one vector per pair.
     """
@@ -98,11 +100,11 @@ def mean_vectors(
     blocks = max(1, math.ceil(vectors.count() * (8 * dim + 64) / block_bytes))
     found = None
     for block in range(blocks):
-        some = vectors.where(F.pmod(F.xxhash64("term"), F.lit(blocks)) == block)
+        here = F.pmod(F.xxhash64("term"), F.lit(blocks)) == block
+        some = vectors.where(here) if blocks > 1 else vectors
         part = pairs.join(F.broadcast(some), "term")
         found = part if found is None else found.unionByName(part)
-    # With other weights than tf, the plain sums are needed for documents of weight 0.
-    kinds = [weight] if weight == "tf" else [weight, "tf"]
+    kinds = [weight, "tf"] if may_be_zero else [weight]
     sums = [F.sum(kind).alias(f"_{kind}_sum") for kind in kinds] + [
         F.sum(F.col(kind) * F.get("vector", F.lit(i))).alias(f"_{kind}_{i}")
         for kind in kinds

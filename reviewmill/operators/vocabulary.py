@@ -13,8 +13,8 @@ def distinct_terms(documents: DataFrame) -> DataFrame:
 
 
 def build_vocabulary(terms: DataFrame) -> DataFrame:
-    """``(term, idx)``: distinct terms in code-point order with indexes 0, 1, 2, ..."""
-    return with_ordinal(terms.select("term").distinct(), ["term"], "idx")
+    """``(term, idx)`` of distinct terms: code-point order, indexes 0, 1, 2, ..."""
+    return with_ordinal(terms.select("term"), ["term"], "idx")
 
 
 def check_vocabulary(vocabulary: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ def count_lines(counts: DataFrame, documents: DataFrame) -> DataFrame:
     """One line per document; entries in index order, none for a document without terms."""
     # At most one entry per distinct term of the document.
     entries = counts.groupBy("doc_id").agg(
-        F.array_sort(F.collect_list(F.struct("idx", "tf"))).alias("entries")
+        F.sort_array(F.collect_list(F.struct("idx", "tf"))).alias("entries")
     )
     body = F.array_join(
         F.transform("entries", lambda e: F.concat_ws(":", e["idx"], e["tf"])), ","

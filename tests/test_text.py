@@ -131,7 +131,7 @@ def test_lemma_rules(spark):
 def test_vocabulary_order_and_check(many_partitions):
     spark = many_partitions
     words = spark.createDataFrame([(w,) for w in ("b", "a's", "a-b", "ab", "b")], "term string")
-    known = vocabulary.build_vocabulary(words)
+    known = vocabulary.build_vocabulary(words.distinct())
     assert {r["term"]: r["idx"] for r in known.collect()} == {"a's": 0, "a-b": 1, "ab": 2, "b": 3}
     assert vocabulary.check_vocabulary(known).first()["valid"]
     shifted = known.withColumn("idx", (F.col("idx") + 1) % 4)

@@ -57,7 +57,7 @@ def test_weights_of_zero_fall_back_to_the_plain_mean(corpus, word_vectors):
     pairs = vectors.term_pairs(corpus)
     other = corpus.sparkSession.createDataFrame([("z", 2.0)], "term string, idf double")
     weights = vectors.occurrence_weights(pairs, other)
-    weighted = vectors.mean_vectors(corpus, weights, word_vectors, "weight")
+    weighted = vectors.mean_vectors(corpus, weights, word_vectors, "weight", may_be_zero=True)
     assert as_dict(weighted) == as_dict(vectors.mean_vectors(corpus, pairs, word_vectors))
 
 
