@@ -98,6 +98,9 @@ def mean_vectors(
     """
     dim = width(vectors)
     blocks = max(1, math.ceil(vectors.count() * (8 * dim + 64) / block_bytes))
+    if blocks > 1:
+        # Read once per block.
+        pairs = materialise(pairs, "weights")
     found = None
     for block in range(blocks):
         here = F.pmod(F.xxhash64("term"), F.lit(blocks)) == block
