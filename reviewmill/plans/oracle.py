@@ -71,7 +71,7 @@ CTES |= {
     "embedded": """
         SELECT v.term, e.embedding AS vector
         FROM vocab v JOIN embeddings e ON e.vec_id = v.idx % (SELECT count(*) FROM embeddings)
-        WHERE v.idx % 4 != 0""",
+        WHERE length(v.term) <= 8""",
 }
 TEXT = ["reviews", "stop", "body_raw", "body_clean"]
 FINAL = [*TEXT, "freq", "body_common", "top", "body_final"]
@@ -111,8 +111,8 @@ _vectors("ptitle", "ptitle_clean")
 
 CTES |= {
     "thinned": """
-        SELECT doc_id, CASE WHEN doc_id % 7 != 0 THEN price END AS price,
-               CASE WHEN doc_id % 5 != 0 THEN avg_product_rating END AS avg_product_rating
+        SELECT doc_id, CASE WHEN is_a_buyer IS NOT NULL THEN price END AS price,
+               CASE WHEN review_rating > 1 THEN avg_product_rating END AS avg_product_rating
         FROM reviews""",
     "filled": """
         SELECT doc_id, coalesce(price, (SELECT quantile_cont(price, 0.5) FROM thinned)) AS price,

@@ -180,7 +180,7 @@ def stopword_table(spark, sf):
     words = _texts(spark, sf).select(F.explode(found).alias("word")).distinct()
     padded = words.select(F.concat(F.lit("  "), "word", F.lit(" ")).alias("word"))
     path = fresh_path(spark, "words")
-    wordlists.write_word_list(padded.unionByName(words.limit(1).select(F.lit(" ").alias("word"))), path)
+    wordlists.write_word_list(padded, path)
     return wordlists.read_word_list(spark, path)
 
 
@@ -413,12 +413,18 @@ def ordinal_encode(spark, sf):
 
 
 def _thinned(spark, sf):
-    """The numbers with some values missing, as the given tables have none."""
-    reviews = given.reviews(spark, sf, "price", "avg_product_rating")
+    """All reviews with some numbers unknown, as the given tables know them all.
+
+    The price is known where the label is, the product's rating where the review has over one star.
+    """
+    reviews = given.reviews(
+        spark, sf, "price", "avg_product_rating", "review_rating", "is_a_buyer"
+    )
+    rated = F.when(F.col("review_rating") > 1, F.col("avg_product_rating"))
     return reviews.select(
         "doc_id",
-        F.when(F.col("doc_id") % 7 != 0, F.col("price")).alias("price"),
-        F.when(F.col("doc_id") % 5 != 0, F.col("avg_product_rating")).alias("avg_product_rating"),
+        F.when(F.col("is_a_buyer").isNotNull(), F.col("price")).alias("price"),
+        rated.alias("avg_product_rating"),
     )
 
 

@@ -83,10 +83,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_vectors(spark: SparkSession, sf_dir: str, vocabulary: DataFrame) -> DataFrame:
-    """``(term, vector)``: a vector for three of four vocabulary terms, the others are unknown."""
+    """``(term, vector)``: stands in for a pretrained table, which knows the shorter words only."""
     embeddings = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     n = embeddings.agg(F.count(F.lit(1))).scalar()
-    known = vocabulary.where("idx % 4 != 0").select("term", (F.col("idx") % n).alias("vec_id"))
+    known = vocabulary.where("length(term) <= 8").select("term", (F.col("idx") % n).alias("vec_id"))
     return known.join(embeddings, "vec_id").select("term", F.col("embedding").alias("vector"))
 
 
