@@ -23,21 +23,14 @@ HEADLINE = (
     "tfidf",
     "mean_vectors",
     "weighted_vectors",
-    "title_count_vectors",
-    "count_vec_lines",
     "lemma_map",
-    "stem_map",
-    "consolidate",
     "ordinal_encode",
     "corr_matrix",
     "dist_by_class",
-    "hist_by_class",
     "top_brand_rate",
     "yearly_counts",
     "numeric_features",
-    "metadata_block",
     "stratified_folds",
-    "macro_metrics",
     "roc_auc",
     "lift_by_scope",
 )
