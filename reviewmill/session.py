@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,5 +58,29 @@ def materialise(rows: DataFrame, label: str = "table") -> DataFrame:
     """
     spark = rows.sparkSession
     path = fresh_path(spark, label)
-    rows.write.parquet(path)
+    with shuffles_dropped_after_use(spark):
+        rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+@contextmanager
+def shuffles_dropped_after_use(spark: SparkSession):
+    """Shuffle files of the actions inside go when the action ends, as its result is written."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete the files of tables made by ``materialise`` that nothing will read again."""
+    for table in tables:
+        spark = table.sparkSession
+        home = shared_folder(spark).removeprefix("file:").rstrip("/")
+        for name in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            if name.removeprefix("file:").replace("///", "/", 1).startswith(home):
+                folder = spark._jvm.org.apache.hadoop.fs.Path(name)
+                folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
