@@ -25,7 +25,8 @@ NOT_SPACE[[32, *range(9, 14)]] = False
 
 _BASE = 0x9E3779B97F4A7C15 | 3  # 3 modulo 4, so that its powers differ in all but two bits
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_LETTERS = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=U64) * U64(2) + U64(1)
+# One family of letter values for each independent hash.
+_LETTERS = np.random.default_rng(20240501).integers(0, 1 << 64, (2, 256), dtype=U64)
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -104,10 +105,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Rolling:
     """64-bit hashes of any stretches of a byte array: equal bytes, equal hash."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, family: int = 0):
         n = len(data)
         self.sums = np.zeros(n + 1, U64)
-        np.cumsum(_LETTERS[data] * _power("up", _BASE, n), out=self.sums[1:])
+        np.cumsum(_LETTERS[family][data] * _power("up", _BASE, n), out=self.sums[1:])
         self.down = _power("down", _INVERSE, n + 1)
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -218,3 +219,14 @@ def gathered(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
+
+
+def sent(spark, value):
+    """Broadcast a value of bounded size; the result, called inside a task, gives the value."""
+    import pickle
+
+    from pyspark import cloudpickle
+
+    # Pickled here, so that classes of these modules go along with it.
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(packed.value)

@@ -70,3 +70,50 @@ SELECT conv_id, count(*) AS n_turns,
             AS BIGINT) AS formatted_chars
 FROM placed GROUP BY conv_id
 """
+
+ORACLES["op4_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS i
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
+keyed AS (
+  SELECT *, translate(regexp_replace(regexp_replace(line, '^[ \t\n\x0b\f\r]+', ''), '[ \t\n\x0b\f\r]+$', ''),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+firsts AS (
+  SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10
+  GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+marked AS (
+  SELECT k.*, first IS NOT NULL AND first <> doc_id AS gone FROM keyed k LEFT JOIN firsts USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+ORACLES["op3_benchmark_decontamination"] = r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+item_words AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(words)) AS n,
+         array_to_string(words[k:k + least(10, len(words)) - 1], ' ') AS w
+  FROM (SELECT item_id, words, unnest(range(1, greatest(1, len(words) - 9) + 1)) AS k
+        FROM item_words WHERE len(words) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+doc_windows AS (
+  SELECT doc_id, n, k, array_to_string(words[k:k + n - 1], ' ') AS w
+  FROM (SELECT doc_id, words, n, unnest(range(1, CAST(len(words) - n + 2 AS BIGINT))) AS k FROM doc_words, sizes)),
+hits AS (SELECT doc_id, k, n, item_id FROM doc_windows JOIN windows USING (n, w)),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM (SELECT DISTINCT doc_id, k, n FROM hits)) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import chat, packing, quality_rules
+from reviewmill.llm import chat, decontamination, line_dedup, packing, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -34,6 +34,24 @@ def op2_best_fit_packing(spark, sf):
     return packing.packed(table(spark, sf, "documents"), *tokenizer())
 
 
+@registered
+def op3_benchmark_decontamination(spark, sf):
+    return decontamination.verdicts(
+        decontamination.matched(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    )
+
+
+@registered
+def op4_line_dedup(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return line_dedup.deduplicated(docs).select(
+        "doc_id",
+        "line_dedup.n_lines",
+        "line_dedup.n_dropped",
+        F.sha2("line_dedup.kept", 256).alias("kept_sha256"),
+    )
+
+
 @registered
 def op5_host_rules(spark, sf):
     return quality_rules.judged(table(spark, sf, "documents")).select(
