@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import chat, decontamination, line_dedup, packing, quality_rules
+from reviewmill.llm import chat, decontamination, line_dedup, packing, quality_classifier, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -68,3 +68,22 @@ def op8_chat_formatting(spark, sf):
     )
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     return chat.digests(chat.formatted(turns.unionByName(hostile)))
+
+
+def predicted(scores: DataFrame, held_out) -> DataFrame:
+    return scores.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@registered
+def op6_quality_classifier(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    fold = quality_classifier.crc_part("doc_id", 5)
+    model = quality_classifier.fit(docs, table(spark, sf, "labels"), "quality", fold != 0)
+    return predicted(
+        quality_classifier.scored(docs, model), F.coalesce(fold == 0, F.lit(False))
+    )
