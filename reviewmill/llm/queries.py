@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import chat, decontamination, line_dedup, packing, quality_classifier, quality_rules
+from reviewmill.llm import (
+    chat,
+    decontamination,
+    line_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -87,3 +95,11 @@ def op6_quality_classifier(spark, sf):
     return predicted(
         quality_classifier.scored(docs, model), F.coalesce(fold == 0, F.lit(False))
     )
+
+
+@registered
+def op7_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    fold = quality_classifier.crc_part("doc_id", 4)
+    model = toxicity.fit(docs, table(spark, sf, "labels"), "toxic", fold != 2)
+    return predicted(toxicity.passages(docs, model), F.coalesce(fold == 2, F.lit(False)))
