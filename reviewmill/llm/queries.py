@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reviewmill.llm import (
     chat,
     decontamination,
+    language_id,
     line_dedup,
     packing,
     quality_classifier,
@@ -103,3 +104,13 @@ def op7_toxicity(spark, sf):
     fold = quality_classifier.crc_part("doc_id", 4)
     model = toxicity.fit(docs, table(spark, sf, "labels"), "toxic", fold != 2)
     return predicted(toxicity.passages(docs, model), F.coalesce(fold == 2, F.lit(False)))
+
+
+@registered
+def op10_language_id(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    fold = quality_classifier.crc_part("doc_id", 4)
+    model = language_id.fit(docs, fold != 2)
+    return language_id.identified(docs, model).select(
+        "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
