@@ -12,6 +12,7 @@ from reviewmill.llm import (
     decontamination,
     language_id,
     line_dedup,
+    near_dedup,
     packing,
     quality_classifier,
     quality_rules,
@@ -114,3 +115,8 @@ def op10_language_id(spark, sf):
     return language_id.identified(docs, model).select(
         "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score"
     )
+
+
+@registered
+def op1_minhash_near_dedup(spark, sf):
+    return near_dedup.components(table(spark, sf, "documents"), size=2)
