@@ -230,3 +230,11 @@ def sent(spark, value):
     # Pickled here, so that classes of these modules go along with it.
     packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
     return lambda: pickle.loads(packed.value)
+
+
+def fresh(columns: list[str], name: str) -> str:
+    """A column name that is not taken."""
+    taken = {c.lower() for c in columns}
+    while any(c.startswith(name) for c in taken):
+        name = f"_{name}"
+    return name

@@ -16,6 +16,8 @@ row gets a row, whatever its id; other columns are left out.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -85,8 +87,10 @@ class Block:
             row = np.repeat(np.arange(len(rows)), self.length)
             self.words[row, np.arange(len(hashes)) - first[row]] = hashes
         # All pairs of each window; for windows of one word, the word.
-        pairs = arrays.chained(self.words.ravel(), 2) if size > 1 else np.zeros(0, U64)
-        pairs = np.append(pairs, U64(0)).reshape(len(rows), size)[:, : max(1, size - 1)]
+        pairs = np.zeros((len(rows), size), U64)
+        if size > 1 and len(rows):
+            pairs.ravel()[:-1] = arrays.chained(self.words.ravel(), 2)
+        pairs = pairs[:, : max(1, size - 1)]
         one = self.length == 1
         pairs = np.where(one[:, None], arrays.mixed(self.words[:, :1] ^ _SINGLE), pairs)
         self.pairs = pairs
@@ -165,7 +169,6 @@ class Block:
         if not rows:
             rows = found_windows = places = [np.zeros(0, np.int64)]
         rows, found_windows, places = map(np.concatenate, (rows, found_windows, places))
-        # A short window of one word is met by both kinds of token only if the pass has both.
         return np.diff(first), rows, found_windows, places
 
 
@@ -174,11 +177,6 @@ def matched(
     item_col="item_id", item_text_col="text", block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``(doc_id, n_words, starts, ends, items)``: the hit word ranges of each row and their items."""
-    spark = docs.sparkSession
-    found = materialise(windows(benchmark, size, item_col, item_text_col), "windows")
-    weight = F.octet_length("text") + F.size("items") * 24 + 200
-    total = found.agg(F.sum(weight.cast("bigint"))).first()[0] or 0
-    n_blocks = max(1, -(-total // block_bytes))
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.col(text_col).alias("text"),
@@ -186,21 +184,56 @@ def matched(
         *[F.array().cast("array<int>").alias(c) for c in ("starts", "ends")],
         F.array().cast("array<string>").alias("items"),
     )
-    for number in range(n_blocks):
-        # Bounded: a share of the windows whose expected size is the block size.
-        some = found.where(F.pmod(F.xxhash64("text"), F.lit(n_blocks)) == number).collect()
-        block = Block(some, size)
-        block.choose(_counts(docs.select(F.col(text_col).alias("text")), block))
-        shared = arrays.sent(spark, block)
-        last = number == n_blocks - 1
+    for get, last in blocks(docs, benchmark, size, text_col, item_col, item_text_col, block_bytes):
         rows = arrays.over(
-            rows, _finder(shared, last),
+            rows, _finder(get, last),
             "doc_id bigint, text string, n_words bigint, starts array<int>, ends array<int>, items array<string>",
             rows.columns,
         )
     return rows.drop("text")
 
 
+def blocks(
+    docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, text_col="text",
+    item_col="item_id", item_text_col="text", block_bytes: int = BLOCK_BYTES,
+):
+    """The benchmark's windows in broadcast blocks with their prefixes chosen: (getter, whether last)."""
+    found = materialise(windows(benchmark, size, item_col, item_text_col), "windows")
+    weight = F.octet_length("text") + F.size("items") * 24 + 200
+    total = found.agg(F.sum(weight.cast("bigint"))).first()[0] or 0
+    n_blocks = max(1, -(-total // block_bytes))
+    for number in range(n_blocks):
+        # Bounded: a share of the windows whose expected size is the block size.
+        some = found.where(F.pmod(F.xxhash64("text"), F.lit(n_blocks)) == number).collect()
+        block = Block(some, size)
+        block.choose(_counts(docs.select(F.col(text_col).alias("text")), block))
+        yield arrays.sent(docs.sparkSession, block), number == n_blocks - 1
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, text_col="text", **where) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no window of the benchmark."""
+    rows = docs
+    for get, _ in blocks(docs, benchmark, size, text_col, **where):
+        rows = rows.where(_is_clean(get)(F.col(text_col)))
+    return rows
+
+
+def _is_clean(get):
+    @F.arrow_udf("boolean")
+    def is_clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        block = get()
+        for texts in batches:
+            kept = []
+            for some in arrays.slices(texts):
+                _, row, _, _ = block.find(some)
+                mine = np.ones(some.last - some.first, dtype=bool)
+                mine[row] = False
+                kept.append(mine)
+            yield pa.array(np.concatenate(kept) if kept else [], pa.bool_())
+
+    return is_clean
+
+
 def _counts(texts: DataFrame, block: Block) -> np.ndarray:
     """How often the corpus holds each token of the block."""
     counts = np.zeros(len(block.tokens), np.int64)

@@ -6,17 +6,19 @@
    batches: after each, given m equal of n values, the similarity has a beta posterior, and the pair is dropped
    when the probability that it reaches the threshold is below ``MISS``.
 3. Of each text's candidates the most similar one is verified on the full sets, and the links found make
-   components.
+   components. A band's first text is the one that shares most bands, so that the text a group was
+   copied from links most of the group at once.
 4. A band whose texts are still in several components holds pairs nobody has compared. All texts of a band
-   outside its largest component are compared with all its texts in other components: again by
-   signature, then exactly. A pair is left out only if both are in the band's largest component, so no
-   link between components is lost, and a large group costs its size times the few that are not in it.
-   If these pairs are more than ``ROUND_PAIRS``, they are taken in rounds by hash, each after
-   the components of the one before.
+   outside its largest component are compared with all its texts in other components by signature, in
+   blocks of ``BLOCK`` by ``BLOCK`` texts that are compared inside a task; what leaves the task is not the
+   pairs but which texts hang together. In these groups, again in blocks, the same pairs are verified on
+   the full sets, and links between components leave the task. A pair is left out only if both are in
+   one component, so no link between components is lost.
 
 Null and empty texts have no shingles and are linked with nothing. A text with fewer words than a
-shingle has the sequence of them as its only shingle. A null id counts as the largest id. Repeated rows
-are in one component with each other. Other columns are left out.
+shingle has the sequence of them as its only shingle. A row with a null id is linked with nothing, its
+component is null, and it is kept. Repeated rows are in one component and get a row each. Other columns are
+left out.
 """
 
 from __future__ import annotations
@@ -38,8 +40,7 @@ BANDS = 32
 BAND_ROWS = 5
 BATCH = 32
 MISS = 1e-5
-ROUND_PAIRS = 20_000_000
-LAST_ID = (1 << 63) - 1
+BLOCK = 512
 
 _random = np.random.default_rng(42)
 _TIMES = _random.integers(0, 1 << 64, BANDS * BAND_ROWS, dtype=U64) | U64(1)
@@ -165,10 +166,10 @@ def plausible(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The ``(a, b)`` whose full shingle sets reach the threshold."""
+def full_sets(docs: DataFrame, asked: DataFrame, size: int) -> DataFrame:
+    """``(doc, hashes)``: the sorted shingle hashes of the asked documents."""
 
-    def full_sets(batches, schema):
+    def made(batches, schema):
         for rows in batches:
             for some in arrays.slices(rows.column("text")):
                 hashes, bounds = shingles(some, size)
@@ -182,12 +183,17 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
                     },
                 )
 
-    asked = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
     wanted = docs.join(asked, "doc", "left_semi")
-    sets = materialise(
-        arrays.over(wanted, full_sets, "doc bigint, hashes binary", ["doc", "text"]).dropDuplicates(["doc"]),
+    return materialise(
+        arrays.over(wanted, made, "doc bigint, hashes binary", ["doc", "text"]).dropDuplicates(["doc"]),
         "full-sets",
     )
+
+
+def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The ``(a, b)`` whose full shingle sets reach the threshold."""
+    asked = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
+    sets = full_sets(docs, asked, size)
     sides = [sets.select(F.col("doc").alias(s), F.col("hashes").alias(f"set_{s}")) for s in ("a", "b")]
 
     @F.arrow_udf("boolean")
@@ -208,13 +214,202 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
     )
 
 
+# Groups in blocks --------------------------------------------------------------------------------
+
+
+def _near_size(n: str, m: str, percent: int) -> str:
+    return f"100 * least({n}, {m}) >= {percent} * greatest({n}, {m})"
+
+
+def open_groups(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows ``(group, doc, ...)`` of the groups in several components, with ``root`` and ``outside``.
+
+    ``outside`` marks texts outside the group's largest component; ``all_blocks`` and ``outside_blocks``
+    say into how many blocks the group's texts and those outside have to be dealt.
+    """
+    named = rows.join(roots.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
+        "root", F.coalesce("root", "doc")
+    )
+    per_group = (
+        named.groupBy("group", "root")
+        .agg(F.count(F.lit(1)).alias("texts"))
+        .groupBy("group")
+        .agg(
+            F.sum("texts").alias("texts"),
+            F.max("texts").alias("most"),
+            F.max_by("root", F.struct("texts", "root")).alias("main"),
+        )
+        .where("texts > most")
+        .select(
+            "group",
+            "main",
+            F.ceil(F.col("texts") / BLOCK).cast("int").alias("all_blocks"),
+            F.ceil((F.col("texts") - F.col("most")) / BLOCK).cast("int").alias("outside_blocks"),
+        )
+    )
+    return (
+        named.join(per_group, "group").withColumn("outside", F.col("root") != F.col("main")).drop("main")
+    )
+
+
+def in_blocks(marked: DataFrame, compare, ddl: str) -> DataFrame:
+    """``compare`` over every block of texts outside with every block of texts of their group.
+
+    ``compare(tile)`` gets an Arrow table with a column ``role`` (0: compare with, 1: compare, 2: both)
+    and returns links as a list of pairs.
+    """
+    block = F.pmod(F.xxhash64("doc"), F.col("all_blocks")).cast("int")
+    own = F.pmod(F.xxhash64("doc", F.lit(1)), F.col("outside_blocks")).cast("int")
+
+    def place(i, k, role):
+        return F.struct(i.alias("i"), k.alias("k"), role.alias("role"))
+
+    zero = F.lit(0)
+    alone = F.array(place(zero, zero, F.when(F.col("outside"), 2).otherwise(0)))
+    as_one_of_all = F.transform(
+        F.sequence(zero, F.col("outside_blocks") - 1), lambda i: place(i, block, zero)
+    )
+    as_outside = F.transform(
+        F.sequence(zero, F.col("all_blocks") - 1), lambda k: place(own, k, F.lit(1))
+    )
+    places = F.when((F.col("all_blocks") == 1) & (F.col("outside_blocks") == 1), alone).otherwise(
+        F.when(F.col("outside"), F.concat(as_one_of_all, as_outside)).otherwise(as_one_of_all)
+    )
+    dealt = marked.withColumn("place", F.explode(places)).select(
+        "group", "place.*", *[c for c in marked.columns if c not in ("group", "all_blocks", "outside_blocks", "outside")]
+    )
+    key = ["group", "i", "k"]
+    sorted_rows = dealt.repartition(*key).sortWithinPartitions(*key)
+
+    def tiles(batches):
+        waiting: list[pa.RecordBatch] = []
+        last = None
+        for rows in batches:
+            if not len(rows):
+                continue
+            keys = np.stack([rows.column(c).to_numpy() for c in key])
+            change = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            edges = [0, *change.tolist(), len(rows)]
+            for a, b in zip(edges[:-1], edges[1:]):
+                this = tuple(keys[:, a].tolist())
+                if waiting and this != last:
+                    yield pa.Table.from_batches(waiting)
+                    waiting = []
+                last = this
+                waiting.append(rows.slice(a, b - a))
+        if waiting:
+            yield pa.Table.from_batches(waiting)
+
+    def run(batches, schema):
+        found: list[tuple[int, int]] = []
+        for tile in tiles(batches):
+            found += compare(tile)
+            if len(found) >= 10_000:
+                yield arrays.batch(schema, {"a": [a for a, _ in found], "b": [b for _, b in found]})
+                found = []
+        yield arrays.batch(schema, {"a": [a for a, _ in found], "b": [b for _, b in found]})
+
+    return arrays.over(sorted_rows, run, ddl, dealt.columns)
+
+
+class _Joined:
+    """Which values hang together, by links added one by one."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        up = self.up
+        while up.setdefault(x, x) != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.root(x), self.root(y)
+        self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _likely_in(tile: pa.Table, percent: int, bounds: list[tuple[int, int]]):
+    """Each text to compare, with the texts of other components that its signature does not rule out."""
+    role, doc, root, n = (tile[c].to_numpy() for c in ("role", "doc", "root", "n"))
+    width = BANDS * BAND_ROWS
+    signature = np.frombuffer(b"".join(tile["signature"].to_pylist()), np.uint8).reshape(-1, width)
+    asks, others = np.flatnonzero(role > 0), np.flatnonzero(role != 1)
+    step = max(1, (1 << 22) // max(1, len(others) * BATCH))
+    for at in range(0, len(asks), step):
+        mine = asks[at : at + step]
+        fits = (root[mine][:, None] != root[others][None]) & (
+            100 * np.minimum(n[mine][:, None], n[others][None])
+            >= percent * np.maximum(n[mine][:, None], n[others][None])
+        )
+        one, other = np.nonzero(fits)
+        one, other = mine[one], others[other]
+        equal = np.zeros(len(one), np.int64)
+        for upto, least in bounds:
+            equal += (
+                signature[one, upto - BATCH : upto] == signature[other, upto - BATCH : upto]
+            ).sum(axis=1)
+            stays = equal >= least
+            one, other, equal = one[stays], other[stays], equal[stays]
+        edges = np.searchsorted(one, mine, "left"), np.searchsorted(one, mine, "right")
+        for i, a, b in zip(mine.tolist(), *(e.tolist() for e in edges)):
+            if b > a:
+                # The most similar first.
+                yield i, other[a:b][np.argsort(-equal[a:b], kind="stable")]
+
+
+def _hang_together(percent: int):
+    bounds = least_matches(percent, BANDS * BAND_ROWS, MISS)
+
+    def compare(tile: pa.Table) -> list[tuple[int, int]]:
+        doc, joined, out = tile["doc"].to_numpy(), _Joined(), []
+        for one, others in _likely_in(tile, percent, bounds):
+            a = int(doc[one])
+            out += [(a, b) for b in doc[others].tolist() if joined.join(a, b)]
+        return out
+
+    return compare
+
+
+def _linked(percent: int):
+    bounds = least_matches(percent, BANDS * BAND_ROWS, MISS)
+
+    def compare(tile: pa.Table) -> list[tuple[int, int]]:
+        doc, root = tile["doc"].to_numpy(), tile["root"].to_numpy()
+        sets = [np.frombuffer(x.as_buffer(), U64) for x in tile["hashes"].combine_chunks()]
+        joined, out = _Joined(), []
+        for one, others in _likely_in(tile, percent, bounds):
+            mine = sets[one]
+            for at in range(0, len(others), 64):
+                # Components that have met meanwhile need no further link.
+                some = [
+                    i for i in others[at : at + 64].tolist()
+                    if joined.root(int(root[one])) != joined.root(int(root[i]))
+                ]
+                if not some:
+                    continue
+                sizes = np.array([len(sets[i]) for i in some])
+                every = np.concatenate([sets[i] for i in some])
+                place = np.searchsorted(mine, every).clip(0, len(mine) - 1)
+                both = np.add.reduceat(mine[place] == every, np.cumsum(sizes) - sizes, dtype=np.int64)
+                good = 100 * both >= percent * (sizes + len(mine) - both)
+                out += [
+                    (int(doc[one]), int(doc[i]))
+                    for i, ok in zip(some, good.tolist())
+                    if ok and joined.join(int(root[one]), int(root[i]))
+                ]
+        return out
+
+    return compare
+
+
 def components(
     docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_col="doc_id", text_col="text"
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for each row of ``docs``."""
-    texts = docs.select(
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST_ID)).alias("doc"), F.col(text_col).alias("text")
-    )
+    texts = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
     sketches = materialise(
         arrays.over(
             texts, _sketch(size),
@@ -224,9 +419,9 @@ def components(
         "sketches",
     )
     key = ["key1", "key2", "n"]
-    first = sketches.where("n > 0").groupBy(*key).agg(F.min("doc").alias("first"))
+    first = sketches.where("n > 0 AND doc IS NOT NULL").groupBy(*key).agg(F.min("doc").alias("first"))
     members = materialise(
-        sketches.select("doc", *key).join(first, key, "left").select("doc", "n", F.coalesce("first", "doc").alias("first")),
+        sketches.select("doc", *key).join(first, key, "left").select("doc", "n", F.expr("if(doc IS NULL, NULL, coalesce(first, doc))").alias("first")),
         "members",
     )
     firsts = members.where("doc = first AND n > 0").select("doc").distinct()
@@ -236,68 +431,46 @@ def components(
     )
 
     banded = distinct.select("doc", "n", F.explode("bands").alias("band"))
-    heads = banded.groupBy("band").agg(
-        F.min(F.struct("doc", "n")).alias("head"), F.count(F.lit(1)).alias("texts")
-    )
+    sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
     # Only bands that several texts share go on.
-    shared = materialise(
-        banded.join(heads.where("texts > 1"), "band").select("band", "doc", "n", "head"), "shared-bands"
+    shared = materialise(banded.join(sizes, "band"), "shared-bands")
+    company = shared.groupBy("doc").agg(F.sum("texts").alias("company"))
+    shared = materialise(shared.drop("texts").join(company, "doc"), "shared-bands")
+    heads = shared.groupBy("band").agg(
+        F.max(F.struct("company", (-F.col("doc")).alias("less"), "n")).alias("head")
     )
-    near_size = f"100 * least(n, m) >= {percent} * greatest(n, m)"
     star = (
-        shared.select(F.col("head.doc").alias("a"), F.col("doc").alias("b"), "n", F.col("head.n").alias("m"))
-        .where(f"a < b AND {near_size}")
-        .select("a", "b")
+        shared.join(heads, "band")
+        .select("doc", (-F.col("head.less")).alias("hub"), "n", F.col("head.n").alias("m"))
+        .where("doc <> hub AND " + _near_size("n", "m", percent))
+        .select(F.col("hub").alias("a"), F.col("doc").alias("b"))
         .distinct()
     )
-    likely = materialise(plausible(star, distinct, percent), "likely-pairs")
-    best = likely.groupBy("b").agg(F.max_by("a", F.struct("equal", "a")).alias("a")).select("a", "b")
+    likely = plausible(star, distinct, percent)
+    best = materialise(
+        likely.groupBy("b").agg(F.max_by("a", F.struct("equal", "a")).alias("a")).select("a", "b"), "best"
+    )
     links = materialise(verified(best, texts, size, percent), "links")
-    tried = best
-    roots = graph.components(links)
-
-    def rooted() -> DataFrame:
-        named = shared.join(roots.withColumnRenamed("node", "doc"), "doc", "left")
-        return named.select("band", "doc", "n", F.coalesce("root", "doc").alias("root"))
-
-    def open_bands() -> DataFrame:
-        """Of bands in several components: the largest one, and how many texts are outside it."""
-        per_root = rooted().groupBy("band", "root").agg(F.count(F.lit(1)).alias("texts"))
-        return (
-            per_root.groupBy("band")
-            .agg(
-                F.sum("texts").alias("texts"),
-                F.max("texts").alias("most"),
-                F.max_by("root", F.struct("texts", "root")).alias("main"),
-                F.count(F.lit(1)).alias("roots"),
-            )
-            .where("roots > 1")
-        )
+    roots = materialise(graph.components(links), "roots")
 
-    work = open_bands().agg(F.sum(F.expr("(texts - most) * texts"))).first()[0] or 0
-    rounds = -(-int(work) // ROUND_PAIRS)
-    for number in range(rounds):
-        bands = open_bands().where(F.pmod(F.hash("band"), F.lit(rounds)) == number).select("band", "main")
-        named = materialise(rooted().join(bands, "band"), "open-bands")
-        outside = named.where("root <> main").select(
-            "band", F.col("doc").alias("other"), F.col("n").alias("m"), F.col("root").alias("other_root")
-        )
-        pairs = (
-            named.join(outside, "band")
-            .where(f"root <> other_root AND {near_size}")
-            .select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b"))
-            .distinct()
-            .join(tried, ["a", "b"], "left_anti")
+    marked = open_groups(shared.select(F.col("band").alias("group"), "doc", "n"), roots)
+    signatures = distinct.select("doc", "signature")
+    together = materialise(
+        in_blocks(marked.join(signatures, "doc"), _hang_together(percent), "a bigint, b bigint"), "together"
+    )
+    if not together.isEmpty():
+        groups = graph.components(together).select(F.col("root").alias("group"), F.col("node").alias("doc"))
+        asked = materialise(groups, "groups")
+        sets = full_sets(texts, asked.select("doc"), size)
+        marked = open_groups(asked.join(distinct.select("doc", "n", "signature"), "doc"), roots)
+        more = materialise(
+            in_blocks(marked.join(sets, "doc"), _linked(percent), "a bigint, b bigint"), "links"
         )
-        more = materialise(plausible(pairs, distinct, percent), "likely-pairs")
-        if more.isEmpty():
-            continue
-        links = links.union(materialise(verified(more, texts, size, percent), "links"))
-        roots = graph.components(links)
+        roots = graph.components(links.union(more))
 
     named = members.join(roots.withColumnRenamed("node", "first"), "first", "left")
     return named.select(
         F.col("doc").alias("doc_id"),
         F.col("n").alias("n_shingles"),
         F.coalesce("root", "first").alias("component_id"),
-    ).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -15,6 +15,7 @@ score is the share of label 1 (a half if there are no labels). Each row gets a r
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -181,51 +182,70 @@ def train(y: np.ndarray, buckets: list[np.ndarray], counts: list[np.ndarray]) ->
     return (vectors @ (layer[:, 1] - layer[:, 0])).astype(np.float32)
 
 
-def scored(docs: DataFrame, model: Model, id_col="doc_id", text_col="text") -> DataFrame:
-    """``(doc_id, score)``: the probability of label 1 for each row."""
+class Scorer:
+    """Scores the rows of slices; keeps the sums of the words it has met."""
+
+    def __init__(self, model: Model):
+        self.weights, self.bias = model
+        self.known = arrays.Numbering(20)
+        self.sums, self.sizes = np.zeros(1 << 19), np.zeros(1 << 19)
+
+    def _words(self, some: arrays.Slice, starts, ends, hashes):
+        """The sum of weights and the number of features of each word."""
+        number = self.known.find(hashes)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            if self.known.full(len(new)):
+                self.known.clear()
+                new = np.arange(len(hashes))
+            distinct, at = np.unique(hashes[new], return_index=True)
+            at = new[at]
+            if self.known.full(len(distinct)):  # one text with very many words: room for it alone
+                self.known = arrays.Numbering(int(len(distinct) * 2).bit_length() + 1)
+            before = self.known.size
+            self.known.add(distinct)
+            word, bucket = word_buckets(some.data, starts[at], ends[at], distinct)
+            while len(self.sums) < self.known.size:
+                self.sums = np.append(self.sums, np.zeros_like(self.sums))
+                self.sizes = np.append(self.sizes, np.zeros_like(self.sizes))
+            self.sums[before : self.known.size] = np.bincount(word, self.weights[bucket], len(at))
+            self.sizes[before : self.known.size] = np.bincount(word, minlength=len(at))
+            number = self.known.find(hashes)
+        return self.sums[number], self.sizes[number]
+
+    def scores(self, some: arrays.Slice) -> np.ndarray:
+        starts, ends, first = arrays.spans(some.data, some.bounds, arrays.NOT_SPACE)
+        hashes = arrays.Rolling(some.data).of(starts, ends)
+        total, size = (
+            np.diff(np.concatenate([[0], np.cumsum(x)])[first])
+            for x in self._words(some, starts, ends, hashes)
+        )
+        if len(hashes) > 1:
+            pairs = np.where(inside_rows(first, len(hashes)), self.weights[pair_buckets(hashes)], 0)
+            # upto[k]: the pairs whose second word comes before word k.
+            upto = np.concatenate([[0, 0], np.cumsum(pairs, dtype=np.float64)])
+            total += upto[first[1:]] - upto[np.minimum(first[:-1] + 1, first[1:])]
+            size += np.maximum(0, np.diff(first) - 1)
+        return 1 / (1 + np.exp(-np.clip(total / np.maximum(size, 1) + self.bias, -500, 500)))
+
+
+def score_column(docs: DataFrame, model: Model, text_col="text") -> Column:
+    """The probability of label 1 as a column over ``docs``."""
     get = arrays.sent(docs.sparkSession, model)
 
-    def score(batches, schema):
-        weights, bias = get()
-        known = arrays.Numbering(20)
-        sums, sizes = np.zeros(1 << 19), np.zeros(1 << 19)
-        for rows in batches:
-            out = []
-            for some in arrays.slices(rows.column("text")):
-                starts, ends, first = arrays.spans(some.data, some.bounds, arrays.NOT_SPACE)
-                hashes = arrays.Rolling(some.data).of(starts, ends)
-                number = known.find(hashes)
-                new = np.flatnonzero(number < 0)
-                if len(new):
-                    if known.full(len(new)):
-                        known.clear()
-                        new = np.arange(len(hashes))
-                    distinct, at = np.unique(hashes[new], return_index=True)
-                    at = new[at]
-                    if known.full(len(distinct)):  # one text with very many words: room for it alone
-                        known = arrays.Numbering(int(len(distinct) * 2).bit_length() + 1)
-                    before = known.size
-                    known.add(distinct)
-                    word, bucket = word_buckets(some.data, starts[at], ends[at], distinct)
-                    while len(sums) < known.size:
-                        sums, sizes = np.append(sums, np.zeros_like(sums)), np.append(sizes, np.zeros_like(sizes))
-                    sums[before : known.size] = np.bincount(word, weights[bucket], len(at))
-                    sizes[before : known.size] = np.bincount(word, minlength=len(at))
-                    number = known.find(hashes)
-                total = np.concatenate([[0], np.cumsum(sums[number])])[first]
-                size = np.concatenate([[0], np.cumsum(sizes[number])])[first]
-                total, size = np.diff(total), np.diff(size)
-                if len(hashes) > 1:
-                    pairs = np.where(inside_rows(first, len(hashes)), weights[pair_buckets(hashes)], 0)
-                    upto = np.concatenate([[0, 0], np.cumsum(pairs, dtype=np.float64)])
-                    n = np.diff(first)
-                    total += upto[first[1:]] - upto[np.minimum(first[:-1] + 1, first[1:])] * (n > 0) - upto[first[1:]] * (n == 0)
-                    size += np.maximum(0, n - 1)
-                out.append(1 / (1 + np.exp(-np.clip(total / np.maximum(size, 1) + bias, -500, 500))))
-            yield arrays.batch(
-                schema,
-                {"doc_id": rows.column("doc_id"), "score": np.concatenate(out) if out else []},
-            )
-
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return arrays.over(rows, score, "doc_id bigint, score double", ["doc_id", "text"])
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scorer = Scorer(get())
+        for texts in batches:
+            parts = [scorer.scores(some) for some in arrays.slices(texts)]
+            yield pa.array(np.concatenate(parts) if parts else [], pa.float64())
+
+    return score(F.col(text_col))
+
+
+def scored(docs: DataFrame, model: Model, id_col="doc_id", text_col="text") -> DataFrame:
+    """``(doc_id, score)``: the probability of label 1 for each row."""
+    return docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"),
+        score_column(docs, model, text_col).alias("score"),
+    )

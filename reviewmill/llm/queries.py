@@ -16,6 +16,7 @@ from reviewmill.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    substring_dedup,
     toxicity,
 )
 
@@ -120,3 +121,15 @@ def op10_language_id(spark, sf):
 @registered
 def op1_minhash_near_dedup(spark, sf):
     return near_dedup.components(table(spark, sf, "documents"), size=2)
+
+
+@registered
+def op9_substring_dedup(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return substring_dedup.deduplicated(docs).select(
+        "doc_id",
+        "substring_dedup.n_bytes",
+        "substring_dedup.n_removed",
+        "substring_dedup.n_spans",
+        F.sha2("substring_dedup.kept", 256).alias("kept_sha256"),
+    )
