@@ -19,6 +19,10 @@ HEADLINE = (
     "stopword_filter",
     "topdf_filter",
     "build_vocab",
+    "title_count_vectors",
+    "count_vec_lines",
+    "stem_map",
+    "consolidate",
     "count_vectors",
     "tfidf",
     "mean_vectors",
@@ -27,12 +31,17 @@ HEADLINE = (
     "ordinal_encode",
     "corr_matrix",
     "dist_by_class",
+    "hist_by_class",
     "top_brand_rate",
     "yearly_counts",
     "numeric_features",
+    "metadata_block",
+    "feature_scopes",
     "stratified_folds",
+    "macro_metrics",
     "roc_auc",
     "lift_by_scope",
+    "lr_predict",
 )
 
 

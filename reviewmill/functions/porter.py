@@ -9,11 +9,16 @@ through Python.
 from __future__ import annotations
 
 import re
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+# The stemmer travels to executors whole, so that none of them has to import this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The suffix rules of the paper.
 STEP_2 = (
     ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,13 +23,17 @@ def long_enough(tokens: Column, least: int = MIN_LENGTH) -> Column:
     return F.filter(tokens, lambda token: F.length(token) >= least)
 
 
-def without(tokens: Column, words: Collection[str]) -> Column:
-    """Drop the given words, keeping duplicates and order of the others.
+def without(tokens: Column, words: Column) -> Column:
+    """Drop the words of a short array, keeping duplicates and order of the other tokens.
 
-    Past ten words Spark compiles the membership test to a hash set.
+    The one-element array binds the words, so that an expression for them is computed once per row.
     """
-    listed = list(words)
-    return F.filter(tokens, lambda token: ~token.isin(listed)) if listed else tokens
+    return F.get(
+        F.transform(
+            F.array(words), lambda mine: F.filter(tokens, lambda token: ~F.array_contains(mine, token))
+        ),
+        F.lit(0),
+    )
 
 
 def joined(tokens: Column) -> Column:

@@ -1,7 +1,8 @@
 """Positions, running totals and exact quantiles over a global order, without a one-task window.
 
 Each works on a range-partitioned table: what happens inside a partition is local, and the partitions
-are tied together by a table with one row per partition and group.
+are tied together by a table with one row per partition and group. That table is written, so that its
+real size decides how it is joined.
 """
 
 from __future__ import annotations
@@ -13,15 +14,6 @@ from pyspark.sql import functions as F
 
 from reviewmill.session import materialise
 
-# Rows per group, or per partition and group, that may be broadcast: a group name and some numbers.
-FEW_ROWS = 500_000
-
-
-def broadcast_if_few(rows: DataFrame) -> DataFrame:
-    few = rows.limit(FEW_ROWS + 1).count() <= FEW_ROWS
-    return F.broadcast(rows) if few else rows
-
-
 def with_ordinal(
     rows: DataFrame, order_by: Sequence[str], name: str, within: Sequence[str] = ()
 ) -> DataFrame:
@@ -49,7 +41,7 @@ def with_ordinal(
         (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
     )
     return (
-        placed.join(broadcast_if_few(shifts), ["_part", *within])
+        placed.join(materialise(shifts, "shifts"), ["_part", *within])
         .withColumn(name, F.col("_at") + F.col("_shift"))
         .drop("_at", "_part", "_shift")
     )
@@ -76,7 +68,7 @@ def with_running_total(
     inside = Window.partitionBy("_part", *within).orderBy(*order_by)
     return (
         placed.withColumn("_inside", F.sum(value).over(inside))
-        .join(broadcast_if_few(before), ["_part", *within])
+        .join(materialise(before, "before"), ["_part", *within])
         .withColumn(name, F.col("_before") + F.col("_inside"))
         .drop("_part", "_inside", "_before")
     )
@@ -100,7 +92,7 @@ def quantiles_of_counted(
     ``probs`` maps output column names to probabilities.
     """
     sizes = counted.groupBy(*within).agg(F.sum("n").alias("_size"))
-    ranked = counted.join(broadcast_if_few(sizes), list(within))
+    ranked = counted.join(materialise(sizes, "sizes"), list(within))
 
     def at(rank):
         covers = (F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reviewmill.functions import values
 from reviewmill.operators import ordering
 from reviewmill.operators.lookup import lookup
+from reviewmill.session import materialise
 
 
 def as_rows(pairs: Sequence[tuple[str, Column]], key: str, value: str) -> Column:
@@ -150,7 +151,7 @@ def class_distributions(table: DataFrame, columns: Sequence[str], label: str) ->
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = (F.col("value") >= F.col("q1") - reach) & (F.col("value") <= F.col("q3") + reach)
     return (
-        counted.join(ordering.broadcast_if_few(boxes), group)
+        counted.join(materialise(boxes, "boxes"), group)
         .groupBy(*group, "q1", "median", "q3")
         .agg(
             F.sum("n").alias("n"),

@@ -6,6 +6,8 @@ inside its row; only per-term statistics and the few removed terms are shuffled.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,9 +15,8 @@ from reviewmill.functions import text
 from reviewmill.operators.lookup import lookup
 from reviewmill.session import materialise
 
-# A word list up to this size becomes part of the expression; a longer one is joined.
-INLINE_WORDS = 5_000
-INLINE_WORD_BYTES = 100
+# Words of a list that are taken at a time; a longer list is taken in several parts.
+LIST_BYTES = 1 << 20
 
 
 def tokenized(reviews: DataFrame, column: str = "review_text") -> DataFrame:
@@ -52,21 +53,25 @@ def keep_long(documents: DataFrame, least: int = text.MIN_LENGTH) -> DataFrame:
     return documents.withColumn("tokens", text.long_enough(F.col("tokens"), least))
 
 
-def drop_words(documents: DataFrame, words: DataFrame) -> DataFrame:
-    """Drop the words of a one-column table from every token array."""
-    word = words.columns[0]
-    listed = words.select(F.substring(word, 1, INLINE_WORD_BYTES + 1).alias("word"))
-    rows = listed.limit(INLINE_WORDS + 1).collect()
-    if len(rows) <= INLINE_WORDS and all(len(r["word"]) <= INLINE_WORD_BYTES for r in rows):
-        inline = sorted({r["word"] for r in rows})
-        return documents.withColumn("tokens", text.without(F.col("tokens"), inline))
-    return _drop_by_join(documents, words.select(F.col(word).alias("token")).distinct())
-
+def drop_words(documents: DataFrame, words: DataFrame, list_bytes: int = LIST_BYTES) -> DataFrame:
+    """Drop the words of a one-column table from every token array; all other columns stay.
 
-def _drop_by_join(documents: DataFrame, words: DataFrame) -> DataFrame:
-    flagged = words.withColumn("_listed", F.lit(True))
-    kept = lookup(occurrences_of(documents), flagged, "token", "doc_id", "left")
-    return regrouped(kept.where("_listed IS NULL"), documents)
+    Each row looks up which of its own tokens are listed, by hash, and drops those; no token is
+    shuffled. Lists come to the rows in parts of about ``list_bytes``. Null words list nothing.
+    """
+    word = F.col(words.columns[0])
+    listed = words.select(word.alias("word")).where("word IS NOT NULL")
+    total = listed.agg(F.sum(F.octet_length("word").cast("bigint") + 16)).first()[0] or 0
+    parts = max(1, math.ceil(total / list_bytes))
+    for part in range(parts):
+        some = listed.where(F.pmod(F.xxhash64("word"), F.lit(parts)) == part)
+        own = F.array_intersect("tokens", some.agg(F.collect_set("word")).scalar())
+        documents = (
+            documents.withColumn("_listed", own)
+            .withColumn("tokens", text.without(F.col("tokens"), F.col("_listed")))
+            .drop("_listed")
+        )
+    return documents
 
 
 def occurrences_of(documents: DataFrame) -> DataFrame:
@@ -95,7 +100,7 @@ def drop_singletons(documents: DataFrame, stats: DataFrame) -> DataFrame:
     """Drop terms that occur once in the corpus.
 
     Each sits at one known place, so documents are joined on ``doc_id`` to the positions to leave
-    out; no token is shuffled by term.
+    out: token arrays may be shuffled by document, but no token by term.
     """
     gone = (
         stats.where("cnt = 1")
@@ -105,8 +110,7 @@ def drop_singletons(documents: DataFrame, stats: DataFrame) -> DataFrame:
     tokens = F.col("tokens")
     positions = F.sequence(F.lit(0), F.size(tokens) - 1)
     kept = F.transform(F.array_except(positions, F.col("_gone")), lambda at: F.get(tokens, at))
-    # The positions of a partition are small next to its tokens: hash them, do not sort the tokens.
-    return documents.join(gone.hint("shuffle_hash"), "doc_id", "left").select(
+    return documents.join(gone, "doc_id", "left").select(
         "doc_id", F.when(F.col("_gone").isNull(), tokens).otherwise(kept).alias("tokens")
     )
 
@@ -128,10 +132,10 @@ def stage_summary(reviews: DataFrame, stopwords: DataFrame, k: int = 20, column:
     # No hint: the word list is the smaller side, and AQE broadcasts it if it measures small.
     flagged = stats.join(flags, "term", "left")
     steps = [
-        ("Initial tokenization", F.lit(True)),
-        ("After length filtering (>= 2)", F.length("term") >= text.MIN_LENGTH),
-        ("After stopword removal", F.col("_listed").isNull()),
-        ("After term freq filtering (count > 1)", F.col("cnt") > 1),
+        ("all tokens", F.lit(True)),
+        ("without short words", F.length("term") >= text.MIN_LENGTH),
+        ("without stop words", F.col("_listed").isNull()),
+        ("without singletons", F.col("cnt") > 1),
     ]
     kept = F.lit(True)
     sums = []
@@ -155,7 +159,7 @@ def stage_summary(reviews: DataFrame, stopwords: DataFrame, k: int = 20, column:
     last = len(steps) - 1
     rows.append(
         (
-            f"After doc freq filtering (remove top {k})",
+            f"without the {k} most common",
             F.col(f"tokens_{last}") - F.col("top.tokens"),
             F.col(f"terms_{last}") - F.col("top.terms"),
         )

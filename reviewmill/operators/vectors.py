@@ -7,7 +7,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewmill.operators.lookup import lookup
@@ -93,36 +95,41 @@ def mean_vectors(
     Terms without a vector are dropped; a review without any gets zeros. Weights from the same
     corpus are above 0. With weights from another, set ``may_be_zero``: a review whose weights sum
     to 0 then gets the plain mean over occurrences. Word vectors go to the pairs, never the other
-    way: each block of them is broadcast and summed up where the pairs lie, so what is shuffled is
-    one partial sum per document and not one vector per pair.
+    way, so what is shuffled is one partial mean per document and not one vector per pair. The table is
+    first cut to the terms that occur; if it is larger than a block even so, one block at a time is
+    broadcast, and its partial means are written before the next.
     """
     dim = width(vectors)
-    blocks = max(1, math.ceil(vectors.count() * (8 * dim + 64) / block_bytes))
-    if blocks > 1:
-        # Read once per block.
-        pairs = materialise(pairs, "weights")
-    found = None
-    for block in range(blocks):
-        here = F.pmod(F.xxhash64("term"), F.lit(blocks)) == block
-        some = vectors.where(here) if blocks > 1 else vectors
-        part = pairs.join(F.broadcast(some), "term")
-        found = part if found is None else found.unionByName(part)
-    kinds = [weight, "tf"] if may_be_zero else [weight]
-    sums = [F.sum(kind).alias(f"_{kind}_sum") for kind in kinds] + [
-        F.sum(F.col(kind) * F.get("vector", F.lit(i))).alias(f"_{kind}_{i}")
-        for kind in kinds
-        for i in range(dim)
-    ]
-
-    def mean(kind: str) -> Column:
-        return F.array(*[F.col(f"_{kind}_{i}") / F.col(f"_{kind}_sum") for i in range(dim)])
-
-    means = [F.when(F.col(f"_{kind}_sum") > 0, mean(kind)) for kind in kinds]
-    averaged = found.groupBy("doc_id").agg(*sums).select("doc_id", F.coalesce(*means).alias("_mean"))
+    known = vectors.select("term", array_to_vector(F.col("vector").cast("array<double>")).alias("_x"))
+    if vectors.count() * (8 * dim + 64) > block_bytes:
+        known = known.join(pairs.select("term").distinct(), "term", "left_semi")
+    known = materialise(known, "known-vectors")
+    blocks = max(1, math.ceil(known.count() * (8 * dim + 64) / block_bytes))
+
+    def averaged(rows: DataFrame, value: str, share: str) -> DataFrame:
+        """The weighted mean of a vector column per document, one aggregate whatever the width."""
+        share_of = F.col(share).cast("double")
+        return rows.where(share_of > 0).groupBy("doc_id").agg(
+            Summarizer.mean(F.col(value), share_of).alias("_mean"), F.sum(share_of).alias("_sum")
+        )
+
+    def means_by(share: str) -> DataFrame:
+        found = None
+        for block in range(blocks):
+            some = known.where(F.pmod(F.xxhash64("term"), F.lit(blocks)) == block)
+            part = averaged(pairs.join(F.broadcast(some), "term"), "_x", share)
+            if blocks > 1:
+                part = materialise(part, "partial-means")
+            found = part if found is None else found.unionByName(part)
+        if blocks > 1:
+            found = averaged(found, "_mean", "_sum")
+        return found.select("doc_id", vector_to_array("_mean").alias(f"_by_{share}"))
+
+    rows, kinds = reviews.select("doc_id"), [weight, "tf"] if may_be_zero else [weight]
+    for kind in kinds:
+        rows = rows.join(means_by(kind), "doc_id", "left")
     zeros = F.array_repeat(F.lit(0.0), dim)
-    return reviews.select("doc_id").join(averaged, "doc_id", "left").select(
-        "doc_id", F.coalesce("_mean", zeros).alias("vector")
-    )
+    return rows.select("doc_id", F.coalesce(*[f"_by_{kind}" for kind in kinds], zeros).alias("vector"))
 
 
 def written_idf(pairs: DataFrame, reviews: DataFrame) -> DataFrame:

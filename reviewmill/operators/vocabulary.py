@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from reviewmill.operators.ordering import with_ordinal
 
 
-def distinct_terms(documents: DataFrame) -> DataFrame:
-    return documents.select(F.explode(F.array_distinct("tokens")).alias("term")).distinct()
-
-
 def build_vocabulary(terms: DataFrame) -> DataFrame:
     """``(term, idx)`` of distinct terms: code-point order, indexes 0, 1, 2, ..."""
     return with_ordinal(terms.select("term"), ["term"], "idx")

@@ -2,11 +2,51 @@
 
 from __future__ import annotations
 
-from reviewmill.functions.stopwords import ENGLISH
-from reviewmill.functions.text import TOKEN_PATTERN
-from reviewmill.operators.consolidate import NOUN_RULES
-from reviewmill.operators.metrics import METRICS, MODELS, REPRESENTATIONS, SCOPES
-from reviewmill.plans.review_table import CUTOFF_YEAR, PRODUCTS
+# Fixed values, written out here again so that a wrong constant of the package shows.
+STOPWORDS = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her
+hers herself it its itself they them their theirs themselves what which who whom this that these
+those am is are was were be been being have has had having do does did doing a an the and but if or
+because as until while of at by for with about against between into through during before after above
+below to from up down in out on off over under again further then once here there when where why how
+all any both each few more most other some such no nor not only own same so than too very s t can
+will just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd they'd
+i'm you're he's she's it's we're they're i've we've you've they've isn't aren't wasn't weren't
+haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't mustn't can't couldn't
+cannot could here's how's let's ought that's there's what's when's where's who's why's would
+""".split()
+TOKEN_PATTERN = "[a-zA-Z]+(?:[-'][a-zA-Z]+)?"
+CUTOFF_YEAR = 1997
+NOUN_RULES = (
+    ("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"), ("ches", "ch"), ("shes", "sh"),
+    ("men", "man"), ("ies", "y"),
+)
+SCOPES = ("Body only", "Body + Title", "Body + Title + Metadata")
+REPRESENTATIONS = ("Count", "Mean vector", "TF-IDF weighted vector")
+MODELS = ("Logistic Regression", "Decision Tree", "Random Forest")
+METRICS = ("accuracy", "macro_precision", "macro_recall", "macro_f1", "roc_auc")
+# Suffix rules of the Porter stemmer as the usual Python version has them.
+STEM_2 = (
+    ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
+    ("bli", "ble"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"),
+    ("ization", "ize"), ("ation", "ate"), ("ator", "ate"), ("alism", "al"), ("iveness", "ive"),
+    ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"),
+    ("fulli", "ful"),
+)
+STEM_3 = (
+    ("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"), ("ful", ""),
+    ("ness", ""),
+)
+STEM_4 = (
+    "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou",
+    "ism", "ate", "iti", "ous", "ive", "ize",
+)
+STEM_EXCEPTIONS = (
+    ("sky", "sky"), ("skies", "sky"), ("dying", "die"), ("lying", "lie"), ("tying", "tie"),
+    ("news", "news"), ("innings", "inning"), ("inning", "inning"), ("outings", "outing"),
+    ("outing", "outing"), ("cannings", "canning"), ("canning", "canning"), ("howe", "howe"),
+    ("proceed", "proceed"), ("exceed", "exceed"), ("succeed", "succeed"),
+)
 
 
 def _quoted(value: str) -> str:
@@ -24,24 +64,27 @@ PATTERN = _quoted(TOKEN_PATTERN)
 
 # Named subqueries; a query lists the ones it needs in order.
 CTES = {
-    "reviews": f"""
+    "reviews": """
         SELECT d.doc_id, CAST(d.doc_id AS VARCHAR) AS review_id,
-               CAST(d.doc_id % {PRODUCTS} AS VARCHAR) AS product_id,
+               CAST(k.product AS VARCHAR) AS product_id,
                regexp_extract(d.text, '^[^.\\n]*', 0) AS review_title, d.text AS review_text,
                CAST(1 + d.n_chars % 5 AS DOUBLE) AS review_rating,
                strftime(o.o_orderdate, '%d-%m-%Y') AS review_date, CAST(NULL AS VARCHAR) AS author,
                l.quality = 1 AS is_a_buyer, p.p_retailprice AS price,
                r.avg_product_rating, r.product_rating_count, d.source AS brand_name,
-               p.p_name AS product_title, CAST(NULL AS VARCHAR) AS product_url,
+               p.p_name || ' ' || b.text AS product_title, CAST(NULL AS VARCHAR) AS product_url,
                CAST(NULL AS VARCHAR) AS product_tags
         FROM documents d
         LEFT JOIN orders o ON o.o_orderkey = d.doc_id
         LEFT JOIN labels l ON l.doc_id = d.doc_id
-        LEFT JOIN part p ON p.p_partkey = d.doc_id % {PRODUCTS}
+        LEFT JOIN (SELECT l_orderkey, min(l_partkey) AS product FROM lineitem GROUP BY 1) k
+               ON k.l_orderkey = d.doc_id
+        LEFT JOIN part p ON p.p_partkey = k.product
+        LEFT JOIN benchmark b ON b.item_id = k.product % (SELECT count(*) FROM benchmark)
         LEFT JOIN (SELECT l_partkey, avg(l_quantity) AS avg_product_rating,
                           count(*) AS product_rating_count
-                   FROM lineitem GROUP BY l_partkey) r ON r.l_partkey = d.doc_id % {PRODUCTS}""",
-    "stop": f"SELECT * FROM (VALUES {_rows(*[(w,) for w in ENGLISH])}) AS s(word)",
+                   FROM lineitem GROUP BY l_partkey) r ON r.l_partkey = k.product""",
+    "stop": f"SELECT * FROM (VALUES {_rows(*[(w,) for w in STOPWORDS])}) AS s(word)",
 }
 
 
@@ -65,17 +108,123 @@ CTES |= {
     "body_common": "SELECT b.* FROM body_clean b JOIN freq f ON f.term = b.term AND f.cnt > 1",
     "top": "SELECT term, df FROM freq WHERE cnt > 1 ORDER BY df DESC, term LIMIT 20",
     "body_final": "SELECT * FROM body_common WHERE term NOT IN (SELECT term FROM top)",
+    "all_terms": """
+        SELECT DISTINCT term FROM body_final UNION SELECT term FROM title_clean
+        UNION SELECT term FROM ptitle_clean""",
+    "lexicon": "SELECT term AS word FROM freq WHERE cnt > 1",
+    "forms": """
+        SELECT l.term, s.stem AS form FROM lemmas l JOIN form_stems s ON s.word = l.lemma""",
     "vocab": """
         SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx
-        FROM (SELECT DISTINCT term FROM body_final)""",
+        FROM (SELECT DISTINCT term FROM body_forms)""",
     "embedded": """
         SELECT v.term, e.embedding AS vector
-        FROM vocab v JOIN embeddings e ON e.vec_id = v.idx % (SELECT count(*) FROM embeddings)
-        WHERE length(v.term) <= 8""",
+        FROM vocab v JOIN embeddings e ON e.vec_id = v.idx % (SELECT count(*) FROM embeddings)""",
 }
+for _name, _column in (("body", "body_final"), ("title", "title_clean"), ("ptitle", "ptitle_clean")):
+    CTES[f"{_name}_forms"] = f"""
+        SELECT t.doc_id, f.form AS term, t.pos FROM {_column} t JOIN forms f ON f.term = t.term"""
+
+
+def _lemmas(terms: str, lexicon: str) -> str:
+    """``(term, lemma)``: noun rules over a table of terms, given a table of known words."""
+    return f"""
+        SELECT f.term, coalesce(m.lemma, f.term) AS lemma
+        FROM {terms} f LEFT JOIN (
+            SELECT term, first(word ORDER BY length(word), word) AS lemma
+            FROM (SELECT t.term, left(t.term, length(t.term) - length(r.suffix)) || r.replacement
+                         AS word
+                  FROM {terms} t JOIN (VALUES {_rows(*NOUN_RULES)}) AS r(suffix, replacement)
+                       ON ends_with(t.term, r.suffix)
+                  UNION ALL SELECT term, term FROM {terms})
+            WHERE word IN (SELECT word FROM {lexicon})
+            GROUP BY term) m ON m.term = f.term"""
+
+
+CTES["lemmas"] = _lemmas("all_terms", "lexicon")
+
+
+def _stems(name: str, source: str, column: str) -> list[str]:
+    """CTEs that stem the distinct words of a column, step by step; the last is ``<name>_stems``.
+
+    ``w`` is the word so far and ``s`` its letters as V and C, a y being V after C.
+    """
+    shape = "regexp_replace(regexp_replace(w, '[^aeiouy]', 'C', 'g'), '[aeiou]', 'V', 'g')"
+    for _ in range(4):
+        shape = f"regexp_replace(regexp_replace({shape}, 'Cy', 'CV', 'g'), '(^|V)y', '\\1C', 'g')"
+
+    def w(cut):
+        return f"left(w, length(w) - {cut})"
+
+    def s(cut):
+        return f"left(s, length(w) - {cut})"
+
+    def m(cut):
+        return f"len(regexp_extract_all({s(cut)}, 'V+C+'))"
+
+    def short(cut):
+        return f"({s(cut)} = 'VC' OR (right({s(cut)}, 3) = 'CVC' AND right({w(cut)}, 1) NOT IN ('w', 'x', 'y')))"
+
+    def ed_ing(cut):
+        return f"""CASE WHEN NOT contains({s(cut)}, 'V') THEN w
+            WHEN regexp_matches({w(cut)}, '(at|bl|iz)$') THEN {w(cut)} || 'e'
+            WHEN regexp_matches({w(cut)}, '(.)$') AND length(w) > {cut + 1}
+                 AND right({w(cut)}, 1) = right({w(cut + 1)}, 1) AND right({s(cut)}, 1) = 'C'
+                 AND right({w(cut)}, 1) NOT IN ('l', 's', 'z') THEN {w(cut + 1)}
+            WHEN {m(cut)} = 1 AND {short(cut)} THEN {w(cut)} || 'e' ELSE {w(cut)} END"""
+
+    def mapped(rules):
+        cases = " ".join(
+            f"WHEN ends_with(w, '{a}') THEN CASE WHEN {m(len(a))} > 0 THEN {w(len(a))} || '{b}' ELSE w END"
+            for a, b in sorted(rules, key=lambda rule: -len(rule[0]))
+        )
+        return f"CASE {cases} ELSE w END"
+
+    stripped = " ".join(
+        f"WHEN ends_with(w, '{a}') THEN CASE WHEN {m(len(a))} > 1"
+        + (f" AND right({w(3)}, 1) IN ('s', 't')" if a == "ion" else "")
+        + f" THEN {w(len(a))} ELSE w END"
+        for a in sorted(STEM_4, key=lambda a: -len(a))
+    )
+    steps = [
+        f"""CASE WHEN ends_with(w, 'sses') THEN {w(2)}
+            WHEN ends_with(w, 'ies') THEN CASE WHEN length(w) = 4 THEN {w(1)} ELSE {w(2)} END
+            WHEN ends_with(w, 's') AND NOT ends_with(w, 'ss') THEN {w(1)} ELSE w END""",
+        f"""CASE WHEN ends_with(w, 'ied') THEN CASE WHEN length(w) = 4 THEN {w(1)} ELSE {w(2)} END
+            WHEN ends_with(w, 'eed') THEN CASE WHEN {m(3)} > 0 THEN {w(1)} ELSE w END
+            WHEN ends_with(w, 'ed') THEN {ed_ing(2)} WHEN ends_with(w, 'ing') THEN {ed_ing(3)}
+            ELSE w END""",
+        f"""CASE WHEN ends_with(w, 'y') AND length(w) > 2 AND right({s(1)}, 1) = 'C'
+            THEN {w(1)} || 'i' ELSE w END""",
+        f"CASE WHEN ends_with(w, 'alli') AND {m(4)} > 0 THEN {w(2)} ELSE w END",
+        f"""CASE WHEN ends_with(w, 'logi') THEN CASE WHEN {m(3)} > 0 THEN {w(1)} ELSE w END
+            ELSE {mapped(STEM_2)} END""",
+        mapped(STEM_3),
+        f"CASE {stripped} ELSE w END",
+        f"""CASE WHEN ends_with(w, 'e') AND ({m(1)} > 1 OR ({m(1)} = 1 AND NOT {short(1)}))
+            THEN {w(1)} ELSE w END""",
+        f"CASE WHEN ends_with(w, 'll') AND {m(1)} > 1 THEN {w(1)} ELSE w END",
+    ]
+    names = [f"{name}_step0"]
+    CTES[names[0]] = f"SELECT DISTINCT {column} AS word, {column} AS w FROM {source}"
+    for i, step in enumerate(steps):
+        names.append(f"{name}_step{i + 1}")
+        CTES[names[-1]] = f"SELECT word, {step} AS w FROM (SELECT *, {shape} AS s FROM {names[-2]})"
+    CTES[f"{name}_stems"] = f"""
+        SELECT word, coalesce(e.stem, CASE WHEN length(word) <= 2 THEN word ELSE w END) AS stem
+        FROM {names[-1]} LEFT JOIN (VALUES {_rows(*STEM_EXCEPTIONS)}) AS e(known, stem) ON e.known = word"""
+    return [*names, f"{name}_stems"]
+
+
+_FORM_STEMS = _stems("form", "lemmas", "lemma")
+_TERM_STEMS = _stems("term", "freq", "term")
 TEXT = ["reviews", "stop", "body_raw", "body_clean"]
 FINAL = [*TEXT, "freq", "body_common", "top", "body_final"]
-INDEXED = [*FINAL, "vocab"]
+FORMED = [
+    *FINAL, "title_raw", "title_clean", "ptitle_raw", "ptitle_clean", "all_terms", "lexicon", "lemmas",
+    *_FORM_STEMS, "forms", "body_forms", "title_forms", "ptitle_forms",
+]
+INDEXED = [*FORMED, "vocab"]
 
 
 def _vectors(name: str, tokens: str) -> list[str]:
@@ -104,38 +253,34 @@ def _vectors(name: str, tokens: str) -> list[str]:
     return [f"{name}_pairs", f"{name}_idf", f"{name}_cells"]
 
 
-BODY = [*INDEXED, "embedded", *_vectors("body", "body_final")]
-TITLE = [*INDEXED, "embedded", "title_raw", "title_clean", *_vectors("title", "title_clean")]
-PTITLE = [*INDEXED, "ptitle_raw", "ptitle_clean"]
-_vectors("ptitle", "ptitle_clean")
+BODY = [*INDEXED, "embedded", *_vectors("body", "body_forms")]
+TITLE = [*INDEXED, "embedded", *_vectors("title", "title_forms")]
+PTITLE = list(INDEXED)
+_vectors("ptitle", "ptitle_forms")
 
 CTES |= {
-    "thinned": """
-        SELECT doc_id, CASE WHEN is_a_buyer IS NOT NULL THEN price END AS price,
-               CASE WHEN review_rating > 1 THEN avg_product_rating END AS avg_product_rating
-        FROM reviews""",
     "filled": """
-        SELECT doc_id, coalesce(price, (SELECT quantile_cont(price, 0.5) FROM thinned)) AS price,
+        SELECT doc_id, coalesce(price, (SELECT quantile_cont(price, 0.5) FROM reviews)) AS price,
                coalesce(avg_product_rating,
-                        (SELECT quantile_cont(avg_product_rating, 0.5) FROM thinned))
+                        (SELECT quantile_cont(avg_product_rating, 0.5) FROM reviews))
                    AS avg_product_rating
-        FROM thinned""",
+        FROM reviews""",
     "brands": """
         SELECT brand_name, row_number() OVER (ORDER BY brand_name) - 1 AS code
         FROM (SELECT DISTINCT brand_name FROM reviews)""",
     "products": """
         SELECT product_title, row_number() OVER (ORDER BY product_title) - 1 AS code
-        FROM (SELECT DISTINCT product_title FROM reviews)""",
+        FROM (SELECT DISTINCT coalesce(product_title, 'unknown') AS product_title FROM reviews)""",
     "coded": """
         SELECT r.*, b.code AS brand_encoded, p.code AS product_encoded
         FROM reviews r JOIN brands b ON b.brand_name = r.brand_name
-        JOIN products p ON p.product_title = r.product_title""",
+        JOIN products p ON p.product_title = coalesce(r.product_title, 'unknown')""",
     "scaled": """
         SELECT doc_id, unnest([0, 1]) AS idx, unnest([
                (avg_product_rating - avg(avg_product_rating) OVER ())
                    / stddev_pop(avg_product_rating) OVER (),
                (lp - avg(lp) OVER ()) / stddev_pop(lp) OVER ()]) AS value
-        FROM (SELECT doc_id, avg_product_rating, ln(1 + price) AS lp FROM reviews)""",
+        FROM (SELECT doc_id, avg_product_rating, ln(1 + price) AS lp FROM filled)""",
     "brand_cells": """
         SELECT r.doc_id, b.code AS idx, 1.0::DOUBLE AS value
         FROM reviews r JOIN brands b ON b.brand_name = r.brand_name""",
@@ -156,7 +301,7 @@ CTES |= {
                toxic AS prediction, (doc_id * 37 % 101) / 101.0::DOUBLE AS score
         FROM labels""",
 }
-METADATA = [*PTITLE, "ptitle_pairs", "ptitle_counts", "brands", "brand_cells", "scaled", "meta"]
+METADATA = [*PTITLE, "ptitle_pairs", "ptitle_counts", "brands", "brand_cells", "filled", "scaled", "meta"]
 
 
 def _scores(by: str) -> tuple[str, str]:
@@ -197,7 +342,7 @@ def _list(names) -> str:
 
 CTES |= {
     "summary": f"""
-        SELECT config, {", ".join(f"avg({m}) AS {m}" for m in METRICS)}
+        SELECT config, {", ".join(f"avg({m}) AS {m}" for m in METRICS)}, count(roc_auc) AS auc_folds
         FROM macro_by_fold JOIN auc_by_fold USING (config, fold) GROUP BY config""",
     "results": f"""
         SELECT {_list(SCOPES)}[config // 9 + 1] AS scope,
@@ -245,10 +390,10 @@ def _dims(name: str) -> str:
 
 _long_tokens = "(SELECT * FROM body_raw WHERE length(term) >= 2)"
 _stages = [
-    ("Initial tokenization", "TRUE"),
-    ("After length filtering (>= 2)", "length(term) >= 2"),
+    ("all tokens", "TRUE"),
+    ("without short words", "length(term) >= 2"),
     (
-        "After stopword removal",
+        "without stop words",
         "length(term) >= 2 AND term NOT IN (SELECT word FROM stop)",
     ),
 ]
@@ -260,9 +405,9 @@ _stage_rows = [
         FROM all_freq WHERE {condition}"""
     for i, (name, condition) in enumerate(_stages)
 ] + [
-    """SELECT 4, 'After term freq filtering (count > 1)', sum(cnt), count(*)
+    """SELECT 4, 'without singletons', sum(cnt), count(*)
        FROM freq WHERE cnt > 1""",
-    """SELECT 5, 'After doc freq filtering (remove top 20)', sum(cnt), count(*)
+    """SELECT 5, 'without the 20 most common', sum(cnt), count(*)
        FROM freq WHERE cnt > 1 AND term NOT IN (SELECT term FROM top)""",
 ]
 CTES["stages"] = " UNION ALL ".join(_stage_rows)
@@ -328,7 +473,7 @@ def _scope_rows() -> str:
                 f"""SELECT {_quoted(scope)} AS scope, {_quoted(representation)} AS representation,
                     l.doc_id, CAST({widths[i]} AS BIGINT) AS n_columns, count(e.idx) AS nonzeros,
                     {near("coalesce(sum(e.value), 0.0)", 3)} AS total
-                    FROM labels l LEFT JOIN ({union}) e ON e.doc_id = l.doc_id GROUP BY l.doc_id"""
+                    FROM documents l LEFT JOIN ({union}) e ON e.doc_id = l.doc_id GROUP BY l.doc_id"""
             )
     return " UNION ALL ".join(parts)
 
@@ -350,18 +495,26 @@ ORACLES: dict[str, str] = {
     "stopword_filter": _shown(TEXT, "body_clean"),
     "hapax_filter": _shown([*TEXT, "freq", "body_common"], "body_common"),
     "topdf_filter": _shown(FINAL, "body_final"),
-    "clean_titles": _shown(["reviews", "stop", "title_raw", "title_clean"], "title_clean"),
+    "clean_titles": _shown(FORMED, "title_forms"),
     "term_freq": _sql([*TEXT, "freq"], "SELECT term, cnt FROM freq"),
     "hapax_terms": _sql([*TEXT, "freq"], "SELECT term FROM freq WHERE cnt = 1"),
     "doc_freq": _sql([*TEXT, "freq"], "SELECT term, df FROM freq WHERE cnt > 1"),
     "top_df_terms": _sql([*TEXT, "freq", "top"], "SELECT term, df FROM top"),
     "processed_reviews": _sql(
-        FINAL,
-        """SELECT r.doc_id, r.review_title,
-                  coalesce(string_agg(t.term, ' ' ORDER BY t.pos), '') AS review_text,
-                  count(t.term) AS n_tokens
-           FROM reviews r LEFT JOIN body_final t ON t.doc_id = r.doc_id
-           GROUP BY r.doc_id, r.review_title""",
+        FORMED,
+        "SELECT "
+        + ", ".join(
+            {
+                "review_text": "coalesce(t.words, '') AS review_text",
+                "avg_product_rating": f"{near('avg_product_rating')} AS avg_product_rating",
+                "doc_id": "r.doc_id",
+            }.get(c, c)
+            for c in _review_columns
+        )
+        + """, coalesce(t.n, 0) AS n_tokens
+           FROM reviews r LEFT JOIN (
+               SELECT doc_id, string_agg(term, ' ' ORDER BY pos) AS words, count(*) AS n
+               FROM body_forms GROUP BY doc_id) t ON t.doc_id = r.doc_id""",
     ),
     "title_token_stats": _sql(
         ["reviews", "stop", "title_raw", "title_clean"],
@@ -382,23 +535,12 @@ ORACLES: dict[str, str] = {
                       AND count(*) FILTER (following <= term) = 0 AS valid
            FROM (SELECT term, idx, lead(term) OVER (ORDER BY idx) AS following FROM vocab)""",
     ),
-    "lemma_map": _sql(
-        [*TEXT, "freq"],
-        f"""SELECT f.term, coalesce(m.lemma, f.term) AS lemma
-            FROM freq f LEFT JOIN (
-                SELECT term, first(word ORDER BY length(word), word) AS lemma
-                FROM (SELECT t.term, left(t.term, length(t.term) - length(r.suffix)) || r.replacement
-                             AS word
-                      FROM freq t JOIN (VALUES {_rows(*NOUN_RULES)}) AS r(suffix, replacement)
-                           ON ends_with(t.term, r.suffix)
-                      UNION ALL SELECT term, term FROM freq)
-                WHERE word IN (SELECT term FROM freq WHERE cnt > 1)
-                GROUP BY term) m ON m.term = f.term""",
-    ),
+    "lemma_map": _sql([*TEXT, "freq", "lexicon"], _lemmas("freq", "lexicon")),
+    "stem_map": _sql([*TEXT, "freq", *_TERM_STEMS], "SELECT word AS term, stem FROM term_stems"),
+    "form_map": _sql(FORMED, "SELECT term, form FROM forms"),
     "consolidate": _sql(
-        TEXT,
-        """SELECT substr(term, 1, 5) AS term, count(*) AS cnt, count(DISTINCT doc_id) AS df
-           FROM body_clean GROUP BY 1""",
+        FORMED,
+        "SELECT term, count(*) AS cnt, count(DISTINCT doc_id) AS df FROM body_forms GROUP BY 1",
     ),
     "count_vectors": _sql([*BODY, "body_counts"], "SELECT doc_id, idx, tf FROM body_counts"),
     "title_count_vectors": _sql([*TITLE, "title_counts"], "SELECT * FROM title_counts"),
@@ -406,7 +548,7 @@ ORACLES: dict[str, str] = {
         [*PTITLE, "ptitle_pairs", "ptitle_counts"], "SELECT * FROM ptitle_counts"
     ),
     "tfidf": _sql(
-        [*FINAL, "body_pairs", "body_idf"],
+        [*FORMED, "body_pairs", "body_idf"],
         f"""SELECT doc_id, term,
                    {near("raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id))")} AS weight
             FROM (SELECT p.doc_id, p.term, p.tf * i.idf AS raw
@@ -434,6 +576,12 @@ ORACLES: dict[str, str] = {
                   replace(printf('%.6f', value), '-0.000000', '0.000000'), ',' ORDER BY dim) AS line
            FROM body_mean GROUP BY doc_id""",
     ),
+    "weighted_vec_lines": _sql(
+        [*BODY, "body_weighted"],
+        """SELECT doc_id, '#' || doc_id || ',' || string_agg(
+                  replace(printf('%.6f', value), '-0.000000', '0.000000'), ',' ORDER BY dim) AS line
+           FROM body_weighted GROUP BY doc_id""",
+    ),
     "dense_vec_roundtrip": _sql([*BODY, "body_mean"], _dims("body_mean")),
     "scan_reviews": _sql(
         ["reviews"],
@@ -441,9 +589,6 @@ ORACLES: dict[str, str] = {
         + ", ".join(
             {
                 "avg_product_rating": f"{near('avg_product_rating')} AS avg_product_rating",
-                # An empty cell of a CSV file reads as null.
-                "review_text": "nullif(review_text, '') AS review_text",
-                "review_title": "nullif(review_title, '') AS review_title",
             }.get(c, c)
             for c in _review_columns
         )
@@ -488,12 +633,12 @@ ORACLES: dict[str, str] = {
         "SELECT doc_id, brand_encoded, product_encoded FROM coded",
     ),
     "median_impute": _sql(
-        ["reviews", "thinned", "filled"],
+        ["reviews", "filled"],
         f"""SELECT doc_id, {near("price")} AS price, {near("avg_product_rating")} AS avg_product_rating
             FROM filled""",
     ),
     "numeric_features": _sql(
-        ["reviews", "thinned", "filled"],
+        ["reviews", "filled"],
         f"""SELECT doc_id,
                    {near('''(avg_product_rating - avg(avg_product_rating) OVER ())
                             / stddev_pop(avg_product_rating) OVER ()''')} AS avg_product_rating,
@@ -555,14 +700,20 @@ ORACLES: dict[str, str] = {
            FROM body_counts c JOIN labels l ON l.doc_id = c.doc_id""",
     ),
     "feature_stats": _sql(
-        [*BODY, *TITLE, "body_counts", "title_counts"],
+        [*BODY, *TITLE, *METADATA, "body_counts", "title_counts"],
         """SELECT block, (SELECT count(*) FROM documents) AS n_rows,
-                  CAST(widths * (SELECT count(*) FROM vocab) AS BIGINT) AS n_columns,
+                  CAST(widths * (SELECT count(*) FROM vocab)
+                       + CASE WHEN contains(block, 'metadata') THEN (SELECT count(*) FROM brands) + 2
+                              ELSE 0 END AS BIGINT) AS n_columns,
                   count(*) AS nonzeros, count(DISTINCT doc_id) AS rows_filled
            FROM (SELECT 'body' AS block, 1 AS widths, doc_id FROM body_counts
                  UNION ALL SELECT 'title', 1, doc_id FROM title_counts
+                 UNION ALL SELECT 'metadata', 1, doc_id FROM meta WHERE value != 0
                  UNION ALL SELECT 'body_title', 2, doc_id FROM body_counts
-                 UNION ALL SELECT 'body_title', 2, doc_id FROM title_counts)
+                 UNION ALL SELECT 'body_title', 2, doc_id FROM title_counts
+                 UNION ALL SELECT 'body_title_metadata', 3, doc_id FROM body_counts
+                 UNION ALL SELECT 'body_title_metadata', 3, doc_id FROM title_counts
+                 UNION ALL SELECT 'body_title_metadata', 3, doc_id FROM meta WHERE value != 0)
            GROUP BY block, widths""",
     ),
     "feature_scopes": _sql(
@@ -583,7 +734,7 @@ ORACLES: dict[str, str] = {
     "roc_auc": _sql(
         ["preds", "auc_by_config"], f"SELECT config, {near('roc_auc')} AS roc_auc FROM auc_by_config"
     ),
-    "cv_summary": _sql(SUMMARY, f"SELECT config, {_metrics()} FROM summary"),
+    "cv_summary": _sql(SUMMARY, f"SELECT config, {_metrics()}, auc_folds FROM summary"),
     "all_results": _sql(RESULTS, f"SELECT scope, representation, model, {_metrics()} FROM results"),
     "metric_pivot": _sql(
         RESULTS,

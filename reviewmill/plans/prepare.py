@@ -2,42 +2,35 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions import text
-from reviewmill.operators import consolidate, terms, vocabulary
+from reviewmill.operators import consolidate, terms, vectors, vocabulary
 from reviewmill.session import materialise
 
 
-def cleaned(
-    reviews: DataFrame, stopwords: DataFrame, column: str = "review_text", forms: DataFrame | None = None
-) -> DataFrame:
+def cleaned(reviews: DataFrame, stopwords: DataFrame, column: str = "review_text") -> DataFrame:
     """``(doc_id, tokens)`` without short words and stop words; no filter looks at the corpus."""
-    documents = terms.drop_words(terms.keep_long(terms.tokenized(reviews, column)), stopwords)
-    return documents if forms is None else consolidate.consolidated_documents(documents, forms)
+    return terms.drop_words(terms.keep_long(terms.tokenized(reviews, column)), stopwords)
 
 
 @dataclass(frozen=True)
 class Prepared:
-    """Documents after all filters, and the terms that are left in them."""
+    """Documents after all filters, the terms left in them, and all terms seen more than once."""
 
     documents: DataFrame
     terms: DataFrame
+    common: DataFrame
 
 
 def prepared(
-    reviews: DataFrame,
-    stopwords: DataFrame,
-    column: str = "review_text",
-    top: int = 20,
-    stem: bool = False,
-    lemma_rules: DataFrame | None = None,
-    lexicon: DataFrame | None = None,
+    reviews: DataFrame, stopwords: DataFrame, column: str = "review_text", top: int = 20
 ) -> Prepared:
-    """All four filters, then on request lemmas (given rules and a lexicon) and stems.
+    """All four filters, on surface forms.
 
     The corpus is tokenised twice: once for the term statistics, which are written, and once for
     the filters that need them. That is cheaper than writing the tokens of the whole corpus.
@@ -49,16 +42,49 @@ def prepared(
     documents = terms.drop_top(terms.drop_singletons(documents, stats), removed)
     # At most `top` rows on the right.
     left = common.join(F.broadcast(removed.select("term")), "term", "left_anti").select("term")
-    if stem:
-        forms = consolidate.written_form_map(left, lemma_rules, lexicon)
-        documents = consolidate.consolidated_documents(documents, forms)
-        left = forms.select(F.col("form").alias("term")).distinct()
-    return Prepared(documents, left)
+    return Prepared(documents, left, common.select("term"))
 
 
-def processed_texts(documents: DataFrame) -> DataFrame:
-    return documents.select("doc_id", text.joined(F.col("tokens")).alias("processed_text"))
+@dataclass(frozen=True)
+class Stemmed:
+    """The body after lemmas and stems: pairs, vocabulary, and the forms of all texts' terms."""
+
+    corpus: Prepared
+    forms: DataFrame
+    pairs: DataFrame
+    vocabulary: DataFrame
+
+    def pairs_of(self, documents: DataFrame) -> DataFrame:
+        """``(doc_id, term, tf)`` of other token documents, under the same forms."""
+        return _written_pairs(documents, self.forms)
+
+
+def _written_pairs(documents: DataFrame, forms: DataFrame) -> DataFrame:
+    return materialise(
+        consolidate.consolidated_pairs(vectors.term_pairs(documents), forms), "stemmed-pairs"
+    )
 
 
-def indexed(corpus: Prepared) -> DataFrame:
-    return vocabulary.build_vocabulary(corpus.terms)
+def stemmed(
+    corpus: Prepared, others: Sequence[DataFrame], rules: DataFrame, exceptions: DataFrame | None = None
+) -> Stemmed:
+    """Lemmas, then stems, over the distinct terms of the body and of ``others`` together.
+
+    So a title's word counts under the body's stem, though the body may never have the word itself.
+    The lemma lexicon is the body's terms seen more than once.
+    """
+    words = corpus.terms
+    for documents in others:
+        words = words.union(documents.select(F.explode("tokens").alias("term")))
+    lexicon = corpus.common.select(F.col("term").alias("word"))
+    forms = consolidate.written_form_map(
+        materialise(words.distinct(), "all-terms"), rules, lexicon, exceptions
+    )
+    known = corpus.terms.join(forms, "term").select(F.col("form").alias("term")).distinct()
+    return Stemmed(
+        corpus, forms, _written_pairs(corpus.documents, forms), vocabulary.build_vocabulary(known)
+    )
+
+
+def processed_texts(documents: DataFrame) -> DataFrame:
+    return documents.select("doc_id", text.joined(F.col("tokens")).alias("processed_text"))

@@ -83,8 +83,18 @@ def _prepared(spark, sf):
     return prepare.prepared(_texts(spark, sf), default_stopwords(spark))
 
 
-def _vocabulary(corpus):
-    return prepare.indexed(corpus)
+def _title_documents(spark, sf):
+    return _cleaned(spark, sf, "review_title")
+
+
+def _product_title_documents(spark, sf):
+    return _cleaned(spark, sf, "product_title")
+
+
+def _words(spark, sf):
+    """The body after the filters, lemmas and stems, with forms for the words of both titles."""
+    others = [_title_documents(spark, sf), _product_title_documents(spark, sf)]
+    return prepare.stemmed(_prepared(spark, sf), others, consolidate.noun_rules(spark))
 
 
 def _vectors(spark, sf, known):
@@ -152,19 +162,21 @@ def topdf_filter(spark, sf):
 
 @registered
 def processed_reviews(spark, sf):
-    """Prepare, write the review table with the processed text, read it back."""
-    reviews = given.reviews(spark, sf, "review_title", "review_text")
-    processed = prepare.processed_texts(prepare.prepared(reviews, default_stopwords(spark)).documents)
+    """Prepare, write the whole review table with the processed text, read it back."""
+    reviews, words = given.reviews(spark, sf), _words(spark, sf)
+    documents = consolidate.consolidated_documents(words.corpus.documents, words.forms)
     path = fresh_path(spark, "processed")
-    tables.write_reviews(tables.with_processed_text(reviews, processed), path)
+    tables.write_reviews(tables.with_processed_text(reviews, prepare.processed_texts(documents)), path)
     back = spark.read.parquet(path)
     n_tokens = F.size(text.split_tokens(F.col("review_text"))).cast("bigint")
-    return back.select("doc_id", "review_title", "review_text", n_tokens.alias("n_tokens"))
+    return rounded(back.withColumn("n_tokens", n_tokens), "avg_product_rating")
 
 
 @registered
 def clean_titles(spark, sf):
-    return shown(_cleaned(spark, sf, "review_title"))
+    """Titles after the filters, lemmas and stems."""
+    forms = _words(spark, sf).forms
+    return shown(consolidate.consolidated_documents(_title_documents(spark, sf), forms))
 
 
 @registered
@@ -186,18 +198,18 @@ def stopword_table(spark, sf):
 
 @registered
 def build_vocab(spark, sf):
-    return _vocabulary(_prepared(spark, sf))
+    return _words(spark, sf).vocabulary
 
 
 @registered
 def vocab_check(spark, sf):
-    return vocabulary.check_vocabulary(_vocabulary(_prepared(spark, sf)))
+    return vocabulary.check_vocabulary(_words(spark, sf).vocabulary)
 
 
 @registered
 def vocab_roundtrip(spark, sf):
     path = fresh_path(spark, "vocab")
-    vocabulary_files.write_vocabulary(_vocabulary(_prepared(spark, sf)), path)
+    vocabulary_files.write_vocabulary(_words(spark, sf).vocabulary, path)
     return vocabulary_files.read_vocabulary(spark, path)
 
 
@@ -214,13 +226,15 @@ def stem_map(spark, sf):
     return consolidate.stem_map(_stats(spark, sf).select("term"))
 
 
+@registered
+def form_map(spark, sf):
+    """Lemma, then stem, of every distinct word of the prepared body and of both titles."""
+    return _words(spark, sf).forms
+
+
 def consolidated(spark, sf):
-    """Counts after mapping every term to a supplied form, here its first five letters."""
-    pairs = vectors.term_pairs(_cleaned(spark, sf))
-    forms = materialise(
-        pairs.select("term").distinct().withColumn("form", F.substring("term", 1, 5)), "forms"
-    )
-    return consolidate.term_counts(consolidate.consolidated_pairs(pairs, forms))
+    """Occurrences and documents of every form of the body."""
+    return consolidate.term_counts(_words(spark, sf).pairs)
 
 
 REGISTERED["consolidate"] = consolidated
@@ -229,32 +243,27 @@ REGISTERED["consolidate"] = consolidated
 # Vectors ------------------------------------------------------------------------------------
 
 
-def _title_documents(spark, sf):
-    return _cleaned(spark, sf, "review_title")
-
-
 @registered
 def count_vectors(spark, sf):
-    corpus = _prepared(spark, sf)
-    return vectors.count_vectors(vectors.term_pairs(corpus.documents), _vocabulary(corpus))
+    words = _words(spark, sf)
+    return vectors.count_vectors(words.pairs, words.vocabulary)
 
 
 @registered
 def title_count_vectors(spark, sf):
-    pairs = vectors.term_pairs(_title_documents(spark, sf))
-    return vectors.count_vectors(pairs, _vocabulary(_prepared(spark, sf)))
+    words = _words(spark, sf)
+    return vectors.count_vectors(words.pairs_of(_title_documents(spark, sf)), words.vocabulary)
 
 
 @registered
 def ptitle_count_vectors(spark, sf):
-    pairs = vectors.term_pairs(_cleaned(spark, sf, "product_title"))
-    return vectors.count_vectors(pairs, _vocabulary(_prepared(spark, sf)))
+    words = _words(spark, sf)
+    return vectors.count_vectors(words.pairs_of(_product_title_documents(spark, sf)), words.vocabulary)
 
 
 @registered
 def tfidf(spark, sf):
-    corpus = _prepared(spark, sf)
-    pairs = vectors.term_pairs(corpus.documents)
+    pairs = _words(spark, sf).pairs
     weights = vectors.tfidf(pairs, vectors.written_idf(pairs, _texts(spark, sf)))
     return rounded(weights, "weight")
 
@@ -263,7 +272,7 @@ def tfidf(spark, sf):
 def word_vector_scan(spark, sf):
     """Write the word vectors, read them back with the width check."""
     path = fresh_path(spark, "word-vectors")
-    given.word_vectors(spark, sf, _vocabulary(_prepared(spark, sf))).write.parquet(path)
+    given.word_vectors(spark, sf, _words(spark, sf).vocabulary).write.parquet(path)
     known = vector_files.read_word_vectors(spark, path)
     return known.select(
         "term",
@@ -277,48 +286,54 @@ def _long(vectors_of):
     return entries.select("doc_id", F.col("idx").alias("dim"), near("value").alias("value"))
 
 
-def _means(spark, sf, documents, known, weighted):
+def _means(spark, sf, pairs, known, weighted):
     vectors_of, reviews = _vectors(spark, sf, known), _texts(spark, sf)
-    pairs = vectors.term_pairs(documents)
     if not weighted:
         return vectors.mean_vectors(reviews, pairs, vectors_of)
     weights = vectors.occurrence_weights(pairs, vectors.written_idf(pairs, reviews))
     return vectors.mean_vectors(reviews, weights, vectors_of, "weight")
 
 
+def _body_means(spark, sf, weighted):
+    words = _words(spark, sf)
+    return _means(spark, sf, words.pairs, words.vocabulary, weighted)
+
+
+def _title_means(spark, sf, weighted):
+    words = _words(spark, sf)
+    pairs = words.pairs_of(_title_documents(spark, sf))
+    return _means(spark, sf, pairs, words.vocabulary, weighted)
+
+
 @registered
 def mean_vectors(spark, sf):
-    corpus = _prepared(spark, sf)
-    return _long(_means(spark, sf, corpus.documents, _vocabulary(corpus), False))
+    return _long(_body_means(spark, sf, False))
 
 
 @registered
 def weighted_vectors(spark, sf):
-    corpus = _prepared(spark, sf)
-    return _long(_means(spark, sf, corpus.documents, _vocabulary(corpus), True))
+    return _long(_body_means(spark, sf, True))
 
 
 @registered
 def title_mean_vectors(spark, sf):
-    known = _vocabulary(_prepared(spark, sf))
-    return _long(_means(spark, sf, _title_documents(spark, sf), known, False))
+    return _long(_title_means(spark, sf, False))
 
 
 @registered
 def title_weighted_vectors(spark, sf):
-    known = _vocabulary(_prepared(spark, sf))
-    return _long(_means(spark, sf, _title_documents(spark, sf), known, True))
+    return _long(_title_means(spark, sf, True))
 
 
 def _count_lines(spark, sf):
-    corpus = _prepared(spark, sf)
-    counts = vectors.count_vectors(vectors.term_pairs(corpus.documents), _vocabulary(corpus))
-    return vector_files.count_lines(counts, _texts(spark, sf))
+    words = _words(spark, sf)
+    return vector_files.count_lines(
+        vectors.count_vectors(words.pairs, words.vocabulary), _texts(spark, sf)
+    )
 
 
-def _dense_lines(spark, sf):
-    corpus = _prepared(spark, sf)
-    return vector_files.dense_lines(_means(spark, sf, corpus.documents, _vocabulary(corpus), False))
+def _dense_lines(spark, sf, weighted=False):
+    return vector_files.dense_lines(_body_means(spark, sf, weighted))
 
 
 @registered
@@ -338,6 +353,11 @@ def dense_vec_lines(spark, sf):
     return _dense_lines(spark, sf)
 
 
+@registered
+def weighted_vec_lines(spark, sf):
+    return _dense_lines(spark, sf, weighted=True)
+
+
 @registered
 def dense_vec_roundtrip(spark, sf):
     path = fresh_path(spark, "dense")
@@ -412,31 +432,17 @@ def ordinal_encode(spark, sf):
     return coded.select("doc_id", "brand_encoded", "product_encoded")
 
 
-def _thinned(spark, sf):
-    """All reviews with some numbers unknown, as the given tables know them all.
-
-    The price is known where the label is, the product's rating where the review has over one star.
-    """
-    reviews = given.reviews(
-        spark, sf, "price", "avg_product_rating", "review_rating", "is_a_buyer"
-    )
-    rated = F.when(F.col("review_rating") > 1, F.col("avg_product_rating"))
-    return reviews.select(
-        "doc_id",
-        F.when(F.col("is_a_buyer").isNotNull(), F.col("price")).alias("price"),
-        rated.alias("avg_product_rating"),
-    )
-
-
 @registered
 def median_impute(spark, sf):
     columns = ["price", "avg_product_rating"]
-    return rounded(profile.with_medians_filled(_thinned(spark, sf), columns), *columns)
+    reviews = given.reviews(spark, sf, *columns)
+    return rounded(profile.with_medians_filled(reviews, columns), *columns)
 
 
 @registered
 def numeric_features(spark, sf):
-    return rounded(features.numeric_features(_thinned(spark, sf)), "avg_product_rating", "log_price")
+    reviews = given.reviews(spark, sf, "price", "avg_product_rating")
+    return rounded(features.numeric_features(reviews), "avg_product_rating", "log_price")
 
 
 def _correlations(spark, sf):
@@ -498,55 +504,58 @@ def brand_one_hot(spark, sf):
     return features.one_hot(reviews, "brand_name", features.categories(reviews, "brand_name"))
 
 
-def _metadata(spark, sf, known):
-    reviews = given.reviews(
-        spark, sf, "brand_name", "product_title", "price", "avg_product_rating"
-    )
-    return inputs.metadata_block(reviews, default_stopwords(spark), known)
+def _metadata(spark, sf, words):
+    reviews = given.reviews(spark, sf, "brand_name", "price", "avg_product_rating")
+    titles = words.pairs_of(_product_title_documents(spark, sf))
+    return inputs.metadata_block(reviews, titles, words.vocabulary)
 
 
 @registered
 def metadata_block(spark, sf):
-    block = _metadata(spark, sf, _vocabulary(_prepared(spark, sf)))
-    return rounded(block.entries, "value")
+    return rounded(_metadata(spark, sf, _words(spark, sf)).entries, "value")
 
 
 @registered
 def labelled_features(spark, sf):
-    corpus = _prepared(spark, sf)
-    counts = vectors.count_vectors(vectors.term_pairs(corpus.documents), _vocabulary(corpus))
+    words = _words(spark, sf)
+    counts = vectors.count_vectors(words.pairs, words.vocabulary)
     return features.with_label(counts, _labelled(spark, sf))
 
 
 @registered
 def feature_stats(spark, sf):
-    corpus = _prepared(spark, sf)
-    known = _vocabulary(corpus)
-    documents, size = _texts(spark, sf), known.count()
-    titles = vectors.term_pairs(_title_documents(spark, sf))
+    """Rows, columns and non-zeros of every block and of the three scopes, counts form."""
+    words = _words(spark, sf)
+    documents, size = _texts(spark, sf), words.vocabulary.count()
 
     def counted(pairs):
-        return features.written(
-            Block(features.counts_to_entries(vectors.count_vectors(pairs, known)), size)
-        )
-
-    body, title = counted(vectors.term_pairs(corpus.documents)), counted(titles)
-    blocks = {"body": body, "title": title, "body_title": features.side_by_side([body, title])}
-    stats = [
-        features.block_stats(documents, block).select(F.lit(name).alias("block"), "*")
-        for name, block in blocks.items()
-    ]
-    return stats[0].unionByName(stats[1]).unionByName(stats[2])
+        counts = vectors.count_vectors(pairs, words.vocabulary)
+        return features.written(Block(features.counts_to_entries(counts), size))
+
+    body, title = counted(words.pairs), counted(words.pairs_of(_title_documents(spark, sf)))
+    metadata = features.written(_metadata(spark, sf, words))
+    blocks = {
+        "body": body,
+        "title": title,
+        "metadata": metadata,
+        "body_title": features.side_by_side([body, title]),
+        "body_title_metadata": features.side_by_side([body, title, metadata]),
+    }
+    rows = None
+    for name, block in blocks.items():
+        part = features.block_stats(documents, block).select(F.lit(name).alias("block"), "*")
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
 
 
 def _inputs(spark, sf):
-    corpus = _prepared(spark, sf)
-    known = _vocabulary(corpus)
+    words, reviews = _words(spark, sf), _texts(spark, sf)
+    known = words.vocabulary
     word_vectors = _vectors(spark, sf, known)
-    reviews = _texts(spark, sf)
-    body = inputs.text_blocks(corpus.documents, reviews, known, word_vectors)
-    title = inputs.text_blocks(_title_documents(spark, sf), reviews, known, word_vectors)
-    metadata = features.written(_metadata(spark, sf, known))
+    body = inputs.text_blocks(words.pairs, reviews, known, word_vectors)
+    titles = words.pairs_of(_title_documents(spark, sf))
+    title = inputs.text_blocks(titles, reviews, known, word_vectors)
+    metadata = features.written(_metadata(spark, sf, words))
     return {
         (scope, representation): inputs.scoped(body, title, metadata, scope, representation)
         for scope in metrics.SCOPES
@@ -556,11 +565,11 @@ def _inputs(spark, sf):
 
 @registered
 def feature_scopes(spark, sf):
-    """Width, non-zeros and total of every labelled review's row in each of the nine inputs."""
-    labelled = _labelled(spark, sf)
+    """Width, non-zeros and total of every review's row in each of the nine inputs."""
+    reviews = _texts(spark, sf)
     rows = None
     for (scope, representation), block in _inputs(spark, sf).items():
-        part = inputs.block_rows(block, labelled).select(
+        part = inputs.block_rows(block, reviews).select(
             F.lit(scope).alias("scope"), F.lit(representation).alias("representation"), "*"
         )
         rows = part if rows is None else rows.unionByName(part)
@@ -652,42 +661,32 @@ def lift_by_scope(spark, sf):
 
 def _body_input(spark, sf):
     """Count vectors of the labelled reviews with their folds."""
-    corpus = _prepared(spark, sf)
-    known = _vocabulary(corpus)
-    counts = vectors.count_vectors(vectors.term_pairs(corpus.documents), known)
-    block = Block(features.counts_to_entries(counts), known.count())
+    words = _words(spark, sf)
+    counts = vectors.count_vectors(words.pairs, words.vocabulary)
+    block = Block(features.counts_to_entries(counts), words.vocabulary.count())
     return grid.training_rows(block, _labelled(spark, sf))
 
 
 def _vector_input(spark, sf):
     """Mean word vectors of the labelled reviews with their folds."""
-    corpus = _prepared(spark, sf)
-    known = _vocabulary(corpus)
-    means = _means(spark, sf, corpus.documents, known, False)
+    means = _body_means(spark, sf, False)
     width = vector_files.width(spark.read.parquet(f"{sf}/embeddings.parquet"), "embedding")
     return grid.training_rows(Block(features.vector_to_entries(means), width), _labelled(spark, sf))
 
 
-def _held_out(rows, model):
-    """Fit on all folds but the first, predict the first."""
-    return models.fit_predict(
-        models.REGISTRY[model], rows.where("fold != 0"), rows.where("fold = 0")
-    )
-
-
 @registered
 def lr_predict(spark, sf):
-    return _held_out(_body_input(spark, sf), "Logistic Regression")
+    return models.cross_validated(_vector_input(spark, sf), models.logistic_regression)
 
 
 @registered
 def dt_predict(spark, sf):
-    return _held_out(_vector_input(spark, sf), "Decision Tree")
+    return models.cross_validated(_vector_input(spark, sf), models.decision_tree)
 
 
 @registered
 def rf_predict(spark, sf):
-    return _held_out(_vector_input(spark, sf), "Random Forest")
+    return models.cross_validated(_vector_input(spark, sf), models.random_forest)
 
 
 @registered

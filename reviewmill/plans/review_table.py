@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.sources.tables import read_table
-
-PRODUCTS = 200
 CUTOFF_YEAR = 1997
 
 _ALL = (
@@ -18,7 +15,12 @@ _ALL = (
 
 
 def reviews(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """``doc_id`` and the asked review columns (default all); joins only the tables they need."""
+    """``doc_id`` and the asked review columns (default all); joins only the tables they need.
+
+    A review's product is the smallest part key in the order with the review's key, its rating that of all
+    line items of the part. Orders without line items leave product, price, rating and title unknown. A
+    title is the part's name and the text of a ``benchmark`` item, whose passages ``documents`` quote.
+    """
     wanted = columns or _ALL
 
     def table(name: str) -> DataFrame:
@@ -31,8 +33,14 @@ def reviews(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         "brand_name": ("source",),
     }
     read = dict.fromkeys(c for w in wanted for c in sources.get(w, ()))
-    rows = read_table(spark, f"{sf_dir}/documents.parquet", "doc_id", *read)
-    rows = rows.withColumn("_product", F.col("doc_id") % PRODUCTS)
+    rows = table("documents").select("doc_id", *read)
+    if {"product_id", "price", "product_title", "avg_product_rating", "product_rating_count"} & set(wanted):
+        products = (
+            table("lineitem")
+            .groupBy(F.col("l_orderkey").alias("doc_id"))
+            .agg(F.min("l_partkey").alias("_product"))
+        )
+        rows = rows.join(products, "doc_id", "left")
     if "review_date" in wanted:
         dates = table("orders").select(
             F.col("o_orderkey").alias("doc_id"),
@@ -46,13 +54,17 @@ def reviews(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         parts = table("part").select(
             F.col("p_partkey").alias("_product"),
             F.col("p_retailprice").alias("price"),
-            F.col("p_name").alias("product_title"),
+            F.col("p_name").alias("_name"),
         )
+        if "product_title" in wanted:
+            items = table("benchmark").select(F.col("item_id").alias("_item"), F.col("text").alias("_words"))
+            n = table("benchmark").agg(F.count(F.lit(1))).scalar()
+            parts = parts.withColumn("_item", F.col("_product") % n).join(items, "_item", "left")
+            parts = parts.withColumn("product_title", F.concat_ws(" ", "_name", "_words"))
         rows = rows.join(parts, "_product", "left")
     if {"avg_product_rating", "product_rating_count"} & set(wanted):
         ratings = (
             table("lineitem")
-            .where(F.col("l_partkey") < PRODUCTS)
             .groupBy(F.col("l_partkey").alias("_product"))
             .agg(
                 F.avg("l_quantity").alias("avg_product_rating"),
@@ -62,7 +74,7 @@ def reviews(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         rows = rows.join(ratings, "_product", "left")
     made = {
         "review_id": F.col("doc_id").cast("string"),
-        "product_id": F.col("_product").cast("string"),
+        "product_id": F.col("_product").cast("string") if "product_id" in wanted else None,
         "review_title": F.regexp_extract("text", r"^[^.\n]*", 0) if "text" in read else None,
         "review_text": F.col("text") if "text" in read else None,
         "review_rating": (1 + F.col("n_chars") % 5).cast("double") if "n_chars" in read else None,
@@ -83,10 +95,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_vectors(spark: SparkSession, sf_dir: str, vocabulary: DataFrame) -> DataFrame:
-    """``(term, vector)``: stands in for a pretrained table, which knows the shorter words only."""
+    """``(term, vector)``: stands in for a pretrained table that knows every vocabulary term."""
     embeddings = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     n = embeddings.agg(F.count(F.lit(1))).scalar()
-    known = vocabulary.where("length(term) <= 8").select("term", (F.col("idx") % n).alias("vec_id"))
+    known = vocabulary.select("term", (F.col("idx") % n).alias("vec_id"))
     return known.join(embeddings, "vec_id").select("term", F.col("embedding").alias("vector"))
 
 

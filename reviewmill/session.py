@@ -9,13 +9,17 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Paths of the tables that this process has materialised and not yet deleted.
+_written: set[str] = set()
+
+
 def local_session(cores: int | str = "*", app: str = "reviewmill") -> SparkSession:
     """A local session for tests and benchmarks. On a cluster, pass your own session instead."""
     partitions = "8" if cores == "*" else str(cores)
     session = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", partitions)
@@ -31,16 +35,16 @@ def local_session(cores: int | str = "*", app: str = "reviewmill") -> SparkSessi
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it in ``spark.checkpoint.dir``.
 
-    A local session without that setting gets a temporary folder; a cluster without it is an error,
-    because a folder of one machine would not survive the loss of that machine.
+    A local session without that setting gets a temporary folder. On a cluster, a missing setting or a
+    folder of one machine is an error, because it would not survive the loss of that machine.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            configured = tempfile.mkdtemp(prefix="reviewmill-")
+        local = context.master.startswith("local")
+        if not local and (configured is None or configured.startswith("file:")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        configured = configured or tempfile.mkdtemp(prefix="reviewmill-")
         context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 
@@ -58,6 +62,7 @@ def materialise(rows: DataFrame, label: str = "table") -> DataFrame:
     """
     spark = rows.sparkSession
     path = fresh_path(spark, label)
+    _written.add(path)
     with shuffles_dropped_after_use(spark):
         rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
@@ -75,12 +80,29 @@ def shuffles_dropped_after_use(spark: SparkSession):
         spark.conf.set(key, before)
 
 
+@contextmanager
+def intermediates(spark: SparkSession):
+    """Deletes at its end all that ``materialise`` writes inside; write results elsewhere before."""
+    before = set(_written)
+    try:
+        yield
+    finally:
+        for path in set(_written) - before:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _written.discard(path)
+
+
 def forget(*tables: DataFrame) -> None:
     """Delete the files of tables made by ``materialise`` that nothing will read again."""
     for table in tables:
         spark = table.sparkSession
         home = shared_folder(spark).removeprefix("file:").rstrip("/")
         for name in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
-            if name.removeprefix("file:").replace("///", "/", 1).startswith(home):
-                folder = spark._jvm.org.apache.hadoop.fs.Path(name)
-                folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            plain = name.removeprefix("file:").replace("///", "/", 1)
+            if plain.startswith(home):
+                _delete(spark, f"{shared_folder(spark)}{plain.removeprefix(home)}")

@@ -1,12 +1,12 @@
 import pytest
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
 
 from reviewmill.functions import text
 from reviewmill.functions.porter import porter_stem
-from reviewmill.functions.stopwords import ENGLISH, stopword_table
-from reviewmill.operators import consolidate, terms, vocabulary
+from reviewmill.functions.stopwords import stopword_table
+from reviewmill.operators import consolidate, terms, vectors, vocabulary
 from reviewmill.plans import prepare
+from reviewmill.plans.oracle import STOPWORDS
 
 # Word pairs printed in Porter's paper.
 PAPER = """
@@ -53,19 +53,25 @@ def test_tokenize(spark):
     ]
 
 
-def test_default_stopwords_are_sparks():
-    assert sorted(ENGLISH) == sorted(StopWordsRemover.loadDefaultStopWords("english"))
+def test_default_stopwords_are_those_of_the_oracle(spark):
+    assert sorted(r["word"] for r in stopword_table(spark).collect()) == sorted(STOPWORDS)
 
 
 def test_filters_keep_duplicates_and_order(spark):
     table = terms.tokenized(documents(spark, "aa bb aa cc", "bb bb", None))
-    words = spark.createDataFrame([("bb",)], "word string")
-    inline = {r["doc_id"]: r["tokens"] for r in terms.drop_words(table, words).collect()}
-    joined = {
-        r["doc_id"]: r["tokens"]
-        for r in terms._drop_by_join(table, words.withColumnRenamed("word", "token")).collect()
-    }
-    assert inline == joined == {0: ["aa", "aa", "cc"], 1: [], 2: []}
+    words = spark.createDataFrame([("bb",), (None,), ("bb",)], "word string")
+    rows = {r["doc_id"]: r["tokens"] for r in terms.drop_words(table, words).collect()}
+    assert rows == {0: ["aa", "aa", "cc"], 1: [], 2: []}
+
+
+@pytest.mark.parametrize("list_bytes", [terms.LIST_BYTES, 20_000])
+def test_long_list_keeps_columns_and_repeated_rows(spark, list_bytes):
+    rows = [(1, ["w1", "aa", "w5999"], "x"), (1, ["bb", "w17"], "y"), (2, [], "z")]
+    table = spark.createDataFrame(rows, "doc_id bigint, tokens array<string>, extra string")
+    words = spark.createDataFrame([(f"w{i}",) for i in range(6000)] + [(None,)], "word string")
+    kept = terms.drop_words(table, words, list_bytes)
+    assert kept.columns == table.columns
+    assert sorted(map(tuple, kept.collect())) == [(1, ["aa"], "x"), (1, ["bb"], "y"), (2, [], "z")]
 
 
 def test_singletons_and_top_terms(spark):
@@ -91,14 +97,20 @@ def test_stage_totals_fall_by_what_is_removed(spark):
     assert rows[-1]["percent_remaining"] == 25.0
 
 
-def test_prepared_with_stems(spark):
-    reviews = documents(spark, "creams cream bottles", "bottle bottles creams", "alpha alpha")
-    corpus = prepare.prepared(reviews, stopword_table(spark), top=1, stem=True)
-    rows = {r["doc_id"]: r["tokens"] for r in corpus.documents.collect()}
-    # 'bottles' and 'creams' are in two documents each; the first by name is dropped as the top term.
-    assert rows == {0: ["cream"], 1: ["cream"], 2: ["alpha", "alpha"]}
-    known = prepare.indexed(corpus).orderBy("idx").collect()
-    assert [(r["term"], r["idx"]) for r in known] == [("alpha", 0), ("cream", 1)]
+def test_stems_are_shared_by_body_and_titles(spark):
+    reviews = documents(spark, "creams cream lotion bottles", "bottle bottles creams lotion", "alpha alpha")
+    titles = terms.tokenized(documents(spark, "creams", "lotions", "unseen words"))
+    corpus = prepare.prepared(reviews, stopword_table(spark), top=1)
+    words = prepare.stemmed(corpus, [titles], consolidate.noun_rules(spark))
+    body = consolidate.consolidated_documents(corpus.documents, words.forms)
+    # 'bottles', 'creams' and 'lotion' are in two documents each; the first by name is the top term.
+    assert {r["doc_id"]: r["tokens"] for r in body.collect()} == {
+        0: ["cream", "lotion"], 1: ["cream", "lotion"], 2: ["alpha", "alpha"],
+    }
+    known = words.vocabulary.orderBy("idx").collect()
+    assert [(r["term"], r["idx"]) for r in known] == [("alpha", 0), ("cream", 1), ("lotion", 2)]
+    found = vectors.count_vectors(words.pairs_of(titles), words.vocabulary).collect()
+    assert sorted(map(tuple, found)) == [(0, 1, 1), (1, 2, 1)]
 
 
 @pytest.mark.parametrize("extended", [True, False])

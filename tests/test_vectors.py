@@ -110,6 +110,33 @@ def test_hot_key_is_cut_into_pieces(many_partitions, skewed):
     assert "_piece" in text and plan.count() == 300
 
 
+def test_long_hot_key_is_cut_into_pieces(many_partitions):
+    spark, key = many_partitions, "k" * 300
+    facts = spark.range(4000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, F.lit(key)).otherwise(F.col("id").cast("string")).alias("term")
+    )
+    table = spark.createDataFrame([(key, 1)], "term string, idx bigint")
+    joined = lookup.lookup(facts, table, "term", "doc_id", "left", limit=0)
+    sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+    assert joined.count() == 4000 and joined.where("idx = 1").count() == 2000
+    assert max(r["count"] for r in sizes) < 1500
+
+
+def test_broadcast_measures_all_columns(spark):
+    long = spark.createDataFrame([("a", "x" * 100_000)], "term string, form string")
+    assert not lookup.fits_broadcast(long, 1000) and lookup.fits_broadcast(long, 200_000)
+
+
+def test_wide_vectors_in_blocks(spark, skewed):
+    draw = random.Random(9)
+    table = [(t, [draw.random() for _ in range(300)]) for t in ("hot", *(f"t{i}" for i in range(40)))]
+    known = spark.createDataFrame([*table, ("unused", [0.0] * 300)], "term string, vector array<float>")
+    docs = skewed.select("doc_id").distinct()
+    once = as_dict(vectors.mean_vectors(docs, skewed, known))
+    assert as_dict(vectors.mean_vectors(docs, skewed, known, block_bytes=30_000)) == once
+    assert all(len(v) == 300 for v in once.values())
+
+
 def test_consolidation_adds_counts(spark, skewed):
     forms = materialise(
         skewed.select("term").distinct().withColumn("form", F.substring("term", 1, 2)), "forms"
