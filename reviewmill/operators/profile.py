@@ -19,6 +19,18 @@ def as_rows(pairs: Sequence[tuple[str, Column]], key: str, value: str) -> Column
     return F.inline(F.array(*[F.struct(F.lit(k).alias(key), v.alias(value)) for k, v in pairs]))
 
 
+def table_profile(table: DataFrame) -> DataFrame:
+    """``(place, column, type, n_rows, n_columns)``, one row per column."""
+    columns = [
+        F.struct(F.lit(i).alias("place"), F.lit(name).alias("column"), F.lit(kind).alias("type"))
+        for i, (name, kind) in enumerate(table.dtypes)
+    ]
+    rows = table.agg(F.count(F.lit(1)).alias("n_rows"))
+    return rows.select(
+        F.inline(F.array(*columns)), "n_rows", F.lit(len(columns)).cast("bigint").alias("n_columns")
+    )
+
+
 def null_profile(table: DataFrame) -> DataFrame:
     """``(column, nulls, total)``, all columns in one pass."""
     counts = table.agg(

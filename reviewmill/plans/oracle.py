@@ -773,3 +773,154 @@ ORACLES: dict[str, str] = {
             FROM results""",
     ),
 }
+
+_types = {
+    "doc_id": "bigint", "review_rating": "double", "is_a_buyer": "boolean", "price": "double",
+    "avg_product_rating": "double", "product_rating_count": "bigint",
+}
+_asked = [
+    "doc_id", "review_id", "product_id", "review_title", "review_text", "review_rating", "review_date",
+    "author", "is_a_buyer", "price", "avg_product_rating", "product_rating_count", "brand_name",
+    "product_title", "product_url", "product_tags",
+]
+ORACLES["table_profile"] = f"""
+    SELECT CAST(place AS INTEGER) AS place, "column", type,
+           (SELECT count(*) FROM documents) AS n_rows, 16::BIGINT AS n_columns
+    FROM (VALUES {_rows(*[(i, c, _types.get(c, "string")) for i, c in enumerate(_asked)])})
+         AS t(place, "column", type)"""
+ORACLES["one_config"] = _sql(
+    RESULTS,
+    f"""SELECT scope, representation, model, {_metrics()} FROM results
+        WHERE scope = 'Body + Title' AND representation = 'Count' AND model = 'Random Forest'""",
+)
+
+
+def _lines(name: str) -> str:
+    return f"""
+        SELECT doc_id, '#' || doc_id || ',' || string_agg(
+               replace(printf('%.6f', value), '-0.000000', '0.000000'), ',' ORDER BY dim) AS line
+        FROM {name} GROUP BY doc_id"""
+
+
+# The same subqueries over the documents after the date cut.
+_whole = _sql(
+    [*BODY, "body_counts", "body_mean", "body_weighted"],
+    "SELECT "
+    + ", ".join(
+        {
+            "review_text": "coalesce(t.words, '') AS review_text",
+            "avg_product_rating": f"{near('avg_product_rating')} AS avg_product_rating",
+            "doc_id": "r.doc_id",
+        }.get(c, f"r.{c}")
+        for c in _review_columns
+    )
+    + f""", '#' || r.doc_id || ',' || coalesce(c.line, '') AS count_line, m.line AS mean_line,
+           w.line AS weighted_line
+       FROM reviews r
+       LEFT JOIN (SELECT doc_id, string_agg(term, ' ' ORDER BY pos) AS words
+                  FROM body_forms GROUP BY doc_id) t ON t.doc_id = r.doc_id
+       LEFT JOIN (SELECT doc_id, string_agg(idx || ':' || tf, ',' ORDER BY idx) AS line
+                  FROM body_counts GROUP BY doc_id) c ON c.doc_id = r.doc_id
+       LEFT JOIN ({_lines("body_mean")}) m ON m.doc_id = r.doc_id
+       LEFT JOIN ({_lines("body_weighted")}) w ON w.doc_id = r.doc_id""",
+).replace("FROM documents", "FROM cut_documents")
+ORACLES["workflow"] = _whole.replace(
+    "WITH ",
+    f"""WITH cut_documents AS (
+        SELECT d.* FROM documents d JOIN orders o ON o.o_orderkey = d.doc_id
+        WHERE year(o.o_orderdate) >= {CUTOFF_YEAR}), """,
+    1,
+)
+
+CTES["dealt"] = """
+    SELECT doc_id, label, CAST((row_number() OVER (PARTITION BY label
+               ORDER BY doc_id * 7919 % 10007, doc_id) - 1) % 5 AS INTEGER) AS fold
+    FROM (SELECT doc_id, quality AS label FROM labels)"""
+CTES["two_numbers"] = """
+    SELECT f.doc_id, d.label, d.fold,
+           (avg_product_rating - a.m1) / a.s1 AS x1, (ln(1 + price) - a.m2) / a.s2 AS x2
+    FROM filled f JOIN dealt d ON d.doc_id = f.doc_id, (
+        SELECT avg(avg_product_rating) AS m1, stddev_pop(avg_product_rating) AS s1,
+               avg(ln(1 + price)) AS m2, stddev_pop(ln(1 + price)) AS s2 FROM filled) a"""
+# Newton steps for the penalised likelihood of three weights, for each fold left out: the sums of a
+# step, and the step by Cramer's rule. The intercept b0 has no penalty.
+CTES["newton"] = """
+    SELECT g.f AS f, 0 AS i, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2
+    FROM (SELECT DISTINCT fold AS f FROM dealt) g
+    UNION ALL
+    SELECT f, i + 1,
+           b0 + (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / det,
+           b1 + (h00 * (g1 * h22 - h12 * g2) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / det,
+           b2 + (h00 * (h11 * g2 - g1 * h12) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / det
+    FROM (SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02)
+                    + h02 * (h01 * h12 - h11 * h02) AS det
+          FROM (SELECT f, i, b0, b1, b2, sum(label - p) AS g0, sum((label - p) * x1) - b1 AS g1,
+                       sum((label - p) * x2) - b2 AS g2, sum(p * (1 - p)) AS h00,
+                       sum(p * (1 - p) * x1) AS h01, sum(p * (1 - p) * x2) AS h02,
+                       sum(p * (1 - p) * x1 * x1) + 1 AS h11, sum(p * (1 - p) * x1 * x2) AS h12,
+                       sum(p * (1 - p) * x2 * x2) + 1 AS h22
+                FROM (SELECT n.*, t.label, t.x1, t.x2,
+                             1 / (1 + exp(-(b0 + b1 * t.x1 + b2 * t.x2))) AS p
+                      FROM newton n JOIN two_numbers t ON t.fold <> n.f WHERE n.i < 15)
+                GROUP BY f, i, b0, b1, b2))"""
+CTES["lr_scored"] = """
+    SELECT t.doc_id, CAST(t.label AS INTEGER) AS label, b0 + b1 * x1 + b2 * x2 AS margin, t.fold
+    FROM two_numbers t JOIN newton n ON n.f = t.fold AND n.i = 15"""
+NEWTON = ["reviews", "filled", "dealt", "two_numbers", "newton", "lr_scored"]
+
+
+def _recursive(ctes: list[str], body: str) -> str:
+    return _sql(ctes, body).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+ORACLES["lr_numbers"] = _recursive(
+    NEWTON,
+    f"""SELECT doc_id, label, CAST(margin > 0 AS INTEGER) AS prediction, {near("margin", 4)} AS score,
+               fold FROM lr_scored""",
+)
+CTES["cv_preds"] = """
+    SELECT fold, label, CAST(margin > 0 AS INTEGER) AS prediction, round(margin, 9) AS score
+    FROM lr_scored"""
+_macro, _auc = (sql.replace("FROM preds", "FROM cv_preds") for sql in _scores("fold"))
+CTES |= {"cv_macro": _macro, "cv_auc": _auc}
+ORACLES["cv_numbers"] = _recursive(
+    [*NEWTON, "cv_preds", "cv_macro", "cv_auc"],
+    f"SELECT fold, {_metrics()} FROM cv_macro JOIN cv_auc USING (fold)",
+)
+# One split by exact Gini gain over the midpoints of neighbouring values; two sides with one
+# prediction are one leaf.
+CTES |= {
+    "variety": """
+        SELECT r.doc_id, r.review_rating AS x2, d.label, d.fold,
+               CAST(floor(coalesce(t.share, 0)) AS DOUBLE) AS x1
+        FROM reviews r JOIN dealt d ON d.doc_id = r.doc_id LEFT JOIN (
+            SELECT doc_id, 10.0::DOUBLE * count(DISTINCT term) / count(*) AS share
+            FROM body_raw GROUP BY doc_id) t ON t.doc_id = r.doc_id""",
+    "values_seen": """
+        SELECT f, j, v, count(*) AS n, sum(label) AS n1
+        FROM (SELECT g.f, unnest([1, 2]) AS j, unnest([x1, x2]) AS v, label
+              FROM variety JOIN (SELECT DISTINCT fold AS f FROM dealt) g ON g.f <> fold)
+        GROUP BY f, j, v""",
+    "splits": """
+        SELECT f, j, (v + lead(v) OVER w) / 2 AS t, sum(n) OVER w AS nl, sum(n1) OVER w AS l1,
+               sum(n) OVER (PARTITION BY f, j) AS n, sum(n1) OVER (PARTITION BY f, j) AS n1
+        FROM values_seen WINDOW w AS (PARTITION BY f, j ORDER BY v)""",
+    "gains": """
+        SELECT *, 2.0::DOUBLE * n1 / n * (1 - n1 / n)
+                  - 2.0::DOUBLE * l1 / nl * (1 - l1 / nl) * nl / n
+                  - 2.0::DOUBLE * (n1 - l1) / (n - nl) * (1 - (n1 - l1) / (n - nl)) * (n - nl) / n AS gain
+        FROM (SELECT f, j, t, nl::DOUBLE AS nl, l1::DOUBLE AS l1, n::DOUBLE AS n, n1::DOUBLE AS n1
+              FROM splits WHERE t IS NOT NULL)""",
+    "stump": """
+        SELECT *, l1 / nl > 0.5 AS left_one, (n1 - l1) / (n - nl) > 0.5 AS right_one FROM gains
+        QUALIFY row_number() OVER (PARTITION BY f ORDER BY round(gain, 12) DESC, j, t) = 1""",
+}
+ORACLES["dt_stump"] = ORACLES["rf_one_tree"] = _sql(
+    ["reviews", "body_raw", "dealt", "variety", "values_seen", "splits", "gains", "stump"],
+    f"""SELECT doc_id, label, CAST(p > 0.5 AS INTEGER) AS prediction, {near("p")} AS score, fold
+        FROM (SELECT v.doc_id, CAST(v.label AS INTEGER) AS label, v.fold,
+                     CASE WHEN left_one = right_one OR gain <= 0 THEN n1 / n
+                          WHEN CASE WHEN j = 1 THEN x1 ELSE x2 END <= t THEN l1 / nl
+                          ELSE (n1 - l1) / (n - nl) END AS p
+              FROM variety v JOIN stump s ON s.f = v.fold)""",
+)

@@ -6,7 +6,9 @@ Outputs are flat: token arrays as joined text, vectors as one row per value, dou
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -365,6 +367,45 @@ def dense_vec_roundtrip(spark, sf):
     return _long(vector_files.read_dense(spark, path))
 
 
+@registered
+def workflow(spark, sf):
+    """From the date cut to all written files; read back as one row per review with every column.
+
+    Date cut, filters, lemmas and stems, vocabulary, the processed table, and the count, mean and
+    weighted vector files.
+    """
+    cut = profile.since_year(given.reviews(spark, sf), given.CUTOFF_YEAR)
+    reviews, stopwords = materialise(cut, "reviews"), default_stopwords(spark)
+    titles = [prepare.cleaned(reviews, stopwords, c) for c in ("review_title", "product_title")]
+    corpus = prepare.prepared(reviews, stopwords)
+    words = prepare.stemmed(corpus, titles, consolidate.noun_rules(spark))
+    documents = consolidate.consolidated_documents(corpus.documents, words.forms)
+    processed = fresh_path(spark, "processed")
+    tables.write_reviews(
+        tables.with_processed_text(reviews, prepare.processed_texts(documents)), processed
+    )
+    vocabulary_path = fresh_path(spark, "vocab")
+    vocabulary_files.write_vocabulary(words.vocabulary, vocabulary_path)
+    known = materialise(vocabulary_files.read_vocabulary(spark, vocabulary_path), "vocabulary")
+    word_vectors = _vectors(spark, sf, known)
+    weights = vectors.occurrence_weights(words.pairs, vectors.written_idf(words.pairs, reviews))
+    files = {
+        "count_line": vector_files.count_lines(vectors.count_vectors(words.pairs, known), reviews),
+        "mean_line": vector_files.dense_lines(
+            vectors.mean_vectors(reviews, words.pairs, word_vectors)
+        ),
+        "weighted_line": vector_files.dense_lines(
+            vectors.mean_vectors(reviews, weights, word_vectors, "weight")
+        ),
+    }
+    rows = spark.read.parquet(processed)
+    for name, lines in files.items():
+        path = fresh_path(spark, name)
+        vector_files.write_lines(lines, path)
+        rows = rows.join(vector_files.read_lines(spark, path, name), "doc_id", "left")
+    return rounded(rows, "avg_product_rating")
+
+
 # Profiling ----------------------------------------------------------------------------------
 
 
@@ -384,6 +425,12 @@ def sample_rows(spark, sf):
     return head.select("doc_id", "review_title", "is_a_buyer")
 
 
+@registered
+def table_profile(spark, sf):
+    """The table's shape, and each column's place, name and type."""
+    return profile.table_profile(given.reviews(spark, sf))
+
+
 @registered
 def null_profile(spark, sf):
     return profile.null_profile(given.reviews(spark, sf))
@@ -651,6 +698,14 @@ def best_config(spark, sf):
     return rounded(metrics.best(_results(spark, sf)), *metrics.METRICS)
 
 
+@registered
+def one_config(spark, sf):
+    """The scores of one configuration."""
+    scope, representation, model = metrics.SCOPES[1], metrics.REPRESENTATIONS[0], metrics.MODELS[2]
+    found = metrics.cells_of(_results(spark, sf), scope, representation, model)
+    return rounded(found, *metrics.METRICS)
+
+
 @registered
 def lift_by_scope(spark, sf):
     return rounded(metrics.lift_by_scope(_results(spark, sf)), "value", "lift")
@@ -694,6 +749,60 @@ def cv_predictions(spark, sf):
     return models.cross_validated(_body_input(spark, sf), models.logistic_regression)
 
 
+def _narrow(spark, sf, numbers):
+    """Labelled reviews with a few numbers as features, and folds that any engine can compute."""
+    labels = _labelled(spark, sf)
+    dealt = folds.stratified_folds(labels, shuffle_key=F.col("doc_id") * 7919 % 10007)
+    names = [c for c in numbers.columns if c != "doc_id"]
+    made = numbers.select("doc_id", array_to_vector(F.array(*names)).alias("features"))
+    rows = made.join(dealt, "doc_id").repartition(grid.PARTITIONS, "doc_id")
+    return materialise(rows, "training")
+
+
+def _variety(spark, sf):
+    """Two numbers of few values: tenths of distinct tokens, and the rating."""
+    reviews = given.reviews(spark, sf, "review_text", "review_rating")
+    tokens = text.tokenize(F.col("review_text"))
+    counted = reviews.select("doc_id", "review_rating", tokens.alias("tokens"))
+    share = F.try_divide(10.0 * F.size(F.array_distinct("tokens")), F.size("tokens"))
+    return counted.select("doc_id", F.floor(F.coalesce(share, F.lit(0.0))).cast("double").alias("tenths"), "review_rating")
+
+
+@registered
+def lr_numbers(spark, sf):
+    """Out-of-fold logistic regression on the two scaled numbers, solved tightly."""
+    numbers = features.numeric_features(given.reviews(spark, sf, "price", "avg_product_rating"))
+    tight = partial(models.logistic_regression, tol=1e-12)
+    return rounded(models.cross_validated(_narrow(spark, sf, numbers), tight), "score", places=4)
+
+
+def _stump(spark, sf, make):
+    return rounded(models.cross_validated(_narrow(spark, sf, _variety(spark, sf)), make), "score")
+
+
+@registered
+def dt_stump(spark, sf):
+    """Out-of-fold decision tree of one split."""
+    return _stump(spark, sf, partial(models.decision_tree, depth=1))
+
+
+@registered
+def rf_one_tree(spark, sf):
+    """A forest of one tree over all rows and columns, which is that tree."""
+    one = partial(models.random_forest, trees=1, depth=1, subset="all", bootstrap=False)
+    return _stump(spark, sf, one)
+
+
+@registered
+def cv_numbers(spark, sf):
+    """All five metrics per fold of the logistic regression on the two numbers."""
+    numbers = features.numeric_features(given.reviews(spark, sf, "price", "avg_product_rating"))
+    tight = partial(models.logistic_regression, tol=1e-12)
+    predictions = models.cross_validated(_narrow(spark, sf, numbers), tight)
+    ranked = predictions.withColumn("score", F.round("score", 9))
+    return rounded(metrics.fold_metrics(ranked, ["fold"]), *metrics.METRICS)
+
+
 @registered
 def grid_text(spark, sf):
     """Three representations of the body with three classifiers."""

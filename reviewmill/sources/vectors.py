@@ -45,6 +45,13 @@ def write_lines(lines: DataFrame, path: str) -> None:
     lines.select(F.col("line").alias("value")).write.text(path)
 
 
+def read_lines(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """``(doc_id, <name>)``: the lines as they stand, by the key at their start."""
+    return spark.read.text(path).select(
+        F.regexp_extract("value", _HEAD, 1).cast("bigint").alias("doc_id"), F.col("value").alias(name)
+    )
+
+
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
     """Long form ``(doc_id, idx, tf)``; a document without entries gives no row."""
     entries = _identified(spark, path).where("body != ''").select(
