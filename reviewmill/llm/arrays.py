@@ -27,7 +27,6 @@ _BASE = 0x9E3779B97F4A7C15 | 3  # 3 modulo 4, so that its powers differ in all b
 _INVERSE = pow(_BASE, -1, 1 << 64)
 # One family of letter values for each independent hash.
 _LETTERS = np.random.default_rng(20240501).integers(0, 1 << 64, (2, 256), dtype=U64)
-_powers: dict[str, np.ndarray] = {}
 
 
 class Slice(NamedTuple):
@@ -84,12 +83,14 @@ def spans(data: np.ndarray, bounds: np.ndarray, is_word: np.ndarray):
 
 
 def _power(name: str, base: int, n: int) -> np.ndarray:
-    known = _powers.get(name)
+    # Not in a variable of this module, which would travel with every function.
+    kept = process_cache()
+    known = kept.get(name)
     if known is None or len(known) < n:
         known = np.full(max(n, SLICE_BYTES + 1), base, U64)
         known[0] = 1
         np.multiply.accumulate(known, out=known)
-        _powers[name] = known
+        kept[name] = known
     return known[:n]
 
 
