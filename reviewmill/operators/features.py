@@ -8,9 +8,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from reviewmill.functions.values import standard_score
 from reviewmill.operators import profile
@@ -19,6 +20,10 @@ from reviewmill.operators.ordering import with_ordinal
 from reviewmill.session import materialise
 
 
+# Fixed value: the mark of a sparse vector in Spark ML's storage format.
+SPARSE = 0
+
+
 @dataclass(frozen=True)
 class Block:
     """A feature block: its entries in long form and its number of columns."""
@@ -112,17 +117,11 @@ def written(block: Block) -> Block:
     return Block(materialise(block.entries.where("value != 0"), "block"), block.width)
 
 
-def assembled(documents: DataFrame, block: Block) -> DataFrame:
-    """``(doc_id, features)`` as ML vectors, one per document; documents without entries are zero.
+def entry_rows(documents: DataFrame, block: Block) -> DataFrame:
+    """``(doc_id, features)``, one row per document; documents without entries are zero.
 
-    The only use of ML vectors: everything up to here is long form and joined on ``doc_id``.
+    ``features`` is the struct that a sparse ML vector is stored as.
     """
-    size = block.width
-
-    @F.udf(VectorUDT(), useArrow=True)
-    def to_vector(indexes, numbers):
-        return SparseVector(size, indexes, numbers)
-
     # A row's entries become one vector, so a group is one output row.
     rows = (
         block.entries.where("value != 0")
@@ -130,13 +129,30 @@ def assembled(documents: DataFrame, block: Block) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.sort_array(F.collect_list(F.struct("idx", "value"))).alias("_entries"))
     )
-    indexes = F.coalesce(F.col("_entries.idx").cast("array<int>"), F.array().cast("array<int>"))
-    numbers = F.coalesce("_entries.value", F.array().cast("array<double>"))
-    return (
-        documents.select("doc_id")
-        .join(rows, "doc_id", "left")
-        .select("doc_id", to_vector(indexes, numbers).alias("features"))
+    vector = F.struct(
+        F.lit(SPARSE).cast("tinyint").alias("type"),
+        F.lit(block.width).cast("int").alias("size"),
+        F.coalesce(F.col("_entries.idx").cast("array<int>"), F.array().cast("array<int>")).alias("indices"),
+        F.coalesce("_entries.value", F.array().cast("array<double>")).alias("values"),
     )
+    return documents.select("doc_id").join(rows, "doc_id", "left").select("doc_id", vector.alias("features"))
+
+
+def with_vectors(rows: DataFrame, label: str = "vectors") -> DataFrame:
+    """The rows written, and read back with ``features`` as ML vectors.
+
+    A vector is stored as its struct, so reading it under the vector type is all it takes; no row
+    passes through Python.
+    """
+    fields = [
+        StructField("features", VectorUDT()) if f.name == "features" else f for f in rows.schema
+    ]
+    return materialise(rows, label, StructType(fields))
+
+
+def assembled(documents: DataFrame, block: Block) -> DataFrame:
+    """``(doc_id, features)`` as ML vectors, one per document."""
+    return with_vectors(entry_rows(documents, block))
 
 
 def block_stats(documents: DataFrame, block: Block) -> DataFrame:

@@ -94,12 +94,15 @@ def medians(table: DataFrame, columns: Sequence[str]) -> Column:
 
 
 def with_medians_filled(table: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Nulls of numeric columns replaced by the column's exact median."""
-    found = table.withColumn("_medians", medians(table, columns))
-    filled = {
-        c: F.coalesce(F.col(c).cast("double"), F.col("_medians").getField(c)) for c in columns
-    }
-    return found.withColumns(filled).drop("_medians")
+    """Nulls of numeric columns replaced by the column's exact median, as doubles."""
+    counted = table.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    missing = [c for c in columns if counted[c]]
+    plain = {c: F.col(c).cast("double") for c in columns}
+    if not missing:
+        return table.withColumns(plain)
+    found = table.withColumn("_medians", medians(table, missing))
+    filled = {c: F.coalesce(plain[c], F.col("_medians").getField(c)) for c in missing}
+    return found.withColumns(plain | filled).drop("_medians")
 
 
 def ordinal_codes(table: DataFrame, column: str) -> DataFrame:

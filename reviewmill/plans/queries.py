@@ -494,10 +494,12 @@ def numeric_features(spark, sf):
 
 def _correlations(spark, sf):
     reviews = given.reviews(spark, sf, *NUMERIC, "brand_name", "product_title", "is_a_buyer")
-    coded = profile.with_ordinal_code(reviews, "brand_name", "brand_encoded")
+    # The join of six tables is made once for codes, medians and moments.
+    joined = materialise(reviews, "joined")
+    coded = profile.with_ordinal_code(joined, "brand_name", "brand_encoded")
     coded = profile.with_ordinal_code(coded, "product_title", "product_encoded")
-    numbers = coded.withColumn("is_a_buyer", F.col("is_a_buyer").cast("int"))
-    return profile.correlations(numbers, CORRELATED)
+    numbers = coded.select(*NUMERIC, "brand_encoded", "product_encoded", F.col("is_a_buyer").cast("int"))
+    return profile.correlations(materialise(numbers, "numbers"), CORRELATED)
 
 
 @registered

@@ -7,6 +7,7 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 # Paths of the tables that this process has materialised and not yet deleted.
@@ -54,18 +55,19 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(rows: DataFrame, label: str = "table") -> DataFrame:
+def materialise(rows: DataFrame, label: str = "table", schema: StructType | None = None) -> DataFrame:
     """Write ``rows`` to the shared folder and read them back.
 
     Cuts the lineage, so a lost executor costs a re-read and not a re-run, fixes values that a
-    re-run could change (range boundaries, partition ids), and gives the optimizer real sizes.
+    re-run could change (range boundaries, partition ids), and gives the optimizer real sizes. Another
+    ``schema`` to read with must have the same storage types.
     """
     spark = rows.sparkSession
     path = fresh_path(spark, label)
     _written.add(path)
     with shuffles_dropped_after_use(spark):
         rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return spark.read.schema(schema or rows.schema).parquet(path)
 
 
 @contextmanager
