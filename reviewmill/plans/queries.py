@@ -597,14 +597,18 @@ def feature_stats(spark, sf):
     return rows
 
 
-def _inputs(spark, sf):
+def _text_inputs(spark, sf):
+    """The body and title blocks in three representations, and the metadata block."""
     words, reviews = _words(spark, sf), _texts(spark, sf)
-    known = words.vocabulary
-    word_vectors = _vectors(spark, sf, known)
-    body = inputs.text_blocks(words.pairs, reviews, known, word_vectors)
+    word_vectors = _vectors(spark, sf, words.vocabulary)
+    body = inputs.text_blocks(words.pairs, reviews, words.vocabulary, word_vectors)
     titles = words.pairs_of(_title_documents(spark, sf))
-    title = inputs.text_blocks(titles, reviews, known, word_vectors)
-    metadata = features.written(_metadata(spark, sf, words))
+    title = inputs.text_blocks(titles, reviews, words.vocabulary, word_vectors)
+    return body, title, features.written(_metadata(spark, sf, words))
+
+
+def _inputs(spark, sf):
+    body, title, metadata = _text_inputs(spark, sf)
     return {
         (scope, representation): inputs.scoped(body, title, metadata, scope, representation)
         for scope in metrics.SCOPES
@@ -615,13 +619,7 @@ def _inputs(spark, sf):
 @registered
 def feature_scopes(spark, sf):
     """Width, non-zeros and total of every review's row in each of the nine inputs."""
-    reviews = _texts(spark, sf)
-    rows = None
-    for (scope, representation), block in _inputs(spark, sf).items():
-        part = inputs.block_rows(block, reviews).select(
-            F.lit(scope).alias("scope"), F.lit(representation).alias("representation"), "*"
-        )
-        rows = part if rows is None else rows.unionByName(part)
+    rows = inputs.scope_rows(*_text_inputs(spark, sf), _texts(spark, sf))
     return rounded(rows, "total", places=3)
 
 
