@@ -13,8 +13,10 @@ the windows of one anchor cover is its segment. The rank of a stretch of bytes i
    pair of anchor rank and rank of the ``LENGTH`` bytes, which is past the threshold. All but the first
    window of a rank are repeated.
 
-Anchor ranks with more than ``GROUP`` different segments are dealt into pieces; a piece
-removes what it can and passes its own first windows on to be compared across pieces.
+Anchor ranks with more than ``GROUP`` different segments are dealt into pieces; a piece removes what it
+can, and its first windows go on, at first not one by one: of ``STEP`` windows at neighbouring offsets from the
+anchor only the bytes they all share are ranked, and where that rank is unique, so are the windows. The
+windows of the rest are then compared across pieces.
 
 Texts are UTF-8 bytes, null texts are empty, matches lie inside one text. Strings are judged on the
 input. A null id counts as the largest; rows with one id must have one text (repeated rows), and neither
@@ -36,6 +38,7 @@ from reviewmill.session import forget, materialise
 LENGTH = 100
 GRAM = 32
 GROUP = 4096
+STEP = 8
 CHUNK = 2 << 20
 LAST_ID = (1 << 63) - 1
 
@@ -64,11 +67,12 @@ def _chunks(some: arrays.Slice, length: int):
 
 
 def anchors_of(some: arrays.Slice, length: int, gram: int):
-    """Row, anchor rank, segment rank, first window and number of windows of each anchor."""
+    """Row, anchor rank, segment rank, first window, number of windows, and place of the anchor
+    after the first window, for each anchor."""
     data, bounds = some.data, some.bounds
     none = np.zeros(0, np.int64)
     if len(data) < length:
-        return none, none.view(U64), none.view(U64), none, none
+        return none, none.view(U64), none.view(U64), none, none, none
     rolling = arrays.Rolling(data)
     grams = rolling.every(gram)
     # Hash in the high bits, place in the low ones: the smallest is the leftmost of equal hashes.
@@ -88,7 +92,7 @@ def anchors_of(some: arrays.Slice, length: int, gram: int):
     anchor = anchor[at]
     segment = arrays.mixed(rolling.of(low, low + n + length - 1) + (anchor - low).astype(U64))
     row = np.searchsorted(bounds, low, "right") - 1
-    return row, grams[anchor], segment, low - bounds[row], n
+    return row, grams[anchor], segment, low - bounds[row], n, anchor - low
 
 
 def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
@@ -97,7 +101,7 @@ def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
             doc = rows.column("doc").to_numpy()
             for some in arrays.slices(rows.column("text"), CHUNK):
                 for part, at in _chunks(some, length):
-                    row, rank, segment, low, n = anchors_of(part, length, gram)
+                    row, rank, segment, low, n, lead = anchors_of(part, length, gram)
                     yield arrays.batch(
                         schema,
                         {
@@ -106,21 +110,22 @@ def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
                             "segment": arrays.signed(segment),
                             "low": low + at,
                             "n": n,
+                            "lead": lead,
                         },
                     )
 
-    return arrays.over(docs, sample, "doc bigint, rank bigint, segment bigint, low int, n int", ["doc", "text"])
+    return arrays.over(docs, sample, "doc bigint, rank bigint, segment bigint, low int, n int, lead int", ["doc", "text"])
 
 
 def _texts_of(docs: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
     """``firsts`` with the bytes of their segments."""
-    asked = firsts.groupBy("doc").agg(F.collect_list(F.struct("rank", "low", "n", "kinds")).alias("asked"))
+    asked = firsts.groupBy("doc").agg(F.collect_list(F.struct("rank", "low", "n", "lead", "kinds")).alias("asked"))
 
     def cut(batches, schema):
         for rows in batches:
             lists = rows.column("asked")
             flat = lists.flatten()
-            rank, low, n, kinds = (flat.field(k).to_numpy() for k in range(4))
+            rank, low, n, lead, kinds = (flat.field(k).to_numpy() for k in range(5))
             counts = pc.list_value_length(lists).to_numpy()
             bounds = np.concatenate([[0], np.cumsum(counts)])
             for some in arrays.slices(rows.column("text")):
@@ -136,6 +141,7 @@ def _texts_of(docs: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
                         "kinds": kinds[a:b],
                         "doc": rows.column("doc").to_numpy()[some.first + row],
                         "low": low[a:b],
+                        "lead": lead[a:b],
                         "body": pa.Array.from_buffers(
                             pa.binary(), len(row), [None, pa.py_buffer(edges), pa.py_buffer(flat_bytes)]
                         ),
@@ -144,39 +150,55 @@ def _texts_of(docs: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
 
     return arrays.over(
         docs.join(asked, "doc"), cut,
-        "rank bigint, kinds bigint, doc bigint, low int, body binary", ["doc", "text", "asked"],
+        "rank bigint, kinds bigint, doc bigint, low int, lead int, body binary", ["doc", "text", "asked"],
     )
 
 
-def _repeated_windows(segments: DataFrame, length: int) -> DataFrame:
-    """``(doc, start, end, rank, name)``: repeated stretches, and first windows (with a name) of pieces."""
+def _flat(bodies: pa.Array):
+    """The bytes of a binary column and where each row's start."""
+    bodies = bodies.combine_chunks() if isinstance(bodies, pa.ChunkedArray) else bodies
+    _, offsets, data = bodies.buffers()
+    edges = np.frombuffer(offsets, np.int32)[bodies.offset : bodies.offset + len(bodies) + 1].astype(np.int64)
+    return np.frombuffer(data, np.uint8)[edges[0] : edges[-1]], edges - edges[0]
+
+
+def _binary(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """Stretches of a byte array as a binary column."""
+    edges = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int32)
+    joined = data[arrays.gathered(start, end - start)]
+    return pa.Array.from_buffers(
+        pa.binary(), len(start), [None, pa.py_buffer(edges), pa.py_buffer(joined)]
+    )
+
+
+FOUND = "doc bigint, start int, end int, rank bigint, core bigint, body binary"
+
+
+def _repeated_windows(segments: DataFrame, length: int, step: int) -> DataFrame:
+    """``FOUND``: repeated stretches, and (with a core) what pieces pass on."""
     pieces = F.ceil(F.col("kinds") / GROUP)
     dealt = segments.withColumn("pieces", pieces.cast("int")).withColumn(
         "piece", F.pmod(F.xxhash64("doc", "low"), F.col("pieces")).cast("int")
     )
     key = ["rank", "piece"]
-    ordered = (
-        dealt.select(*key, "pieces", "doc", "low", "body").repartition(*key).sortWithinPartitions(*key)
-    )
+    columns = [*key, "pieces", "doc", "low", "lead", "body"]
+    ordered = dealt.select(*columns).repartition(*key).sortWithinPartitions(*key)
 
     def resolve(rows: pa.Table, schema):
-        rank, piece, pieces, doc, low = (
-            rows[c].to_numpy() for c in ("rank", "piece", "pieces", "doc", "low")
+        rank, piece, pieces, doc, low, lead = (
+            rows[c].to_numpy() for c in ("rank", "piece", "pieces", "doc", "low", "lead")
         )
-        bodies = rows["body"].combine_chunks()
-        _, offsets, data = bodies.buffers()
-        edges = np.frombuffer(offsets, np.int32)[bodies.offset : bodies.offset + len(bodies) + 1].astype(np.int64)
-        data = np.frombuffer(data, np.uint8)[edges[0] : edges[-1]]
-        edges = edges - edges[0]
+        data, edges = _flat(rows["body"])
         n = np.diff(edges) - length + 1
         start = arrays.gathered(edges[:-1], n)
         row = np.repeat(np.arange(len(n)), n)
-        name = arrays.Rolling(data).of(start, start + length)
+        rolling = arrays.Rolling(data)
+        name = rolling.of(start, start + length)
         place = low[row] + (start - edges[row])
-        order = np.lexsort((place, doc[row], name, rank[row]))
-        r, w, d, p = rank[row][order], name[order], doc[row][order], place[order]
+        order = np.lexsort((place, doc[row], name, piece[row], rank[row]))
+        r, q, w, d, p = rank[row][order], piece[row][order], name[order], doc[row][order], place[order]
         opens = np.ones(len(order), dtype=bool)
-        opens[1:] = (r[1:] != r[:-1]) | (w[1:] != w[:-1])
+        opens[1:] = (r[1:] != r[:-1]) | (q[1:] != q[:-1]) | (w[1:] != w[:-1])
         first = np.flatnonzero(opens)[np.cumsum(opens) - 1]
         later = (d != d[first]) | (p != p[first])
         # Neighbouring repeated windows of one segment make one stretch.
@@ -185,7 +207,8 @@ def _repeated_windows(segments: DataFrame, length: int) -> DataFrame:
         at = np.flatnonzero(gone)
         new = np.ones(len(at), dtype=bool)
         new[1:] = (at[1:] != at[:-1] + 1) | (row[at[1:]] != row[at[:-1]])
-        from_, upto = at[new], at[np.append(np.flatnonzero(new)[1:] - 1, len(at) - 1)] if len(at) else at
+        from_ = at[new]
+        upto = at[np.append(np.flatnonzero(new)[1:] - 1, len(at) - 1)] if len(at) else at
         yield arrays.batch(
             schema,
             {
@@ -193,18 +216,31 @@ def _repeated_windows(segments: DataFrame, length: int) -> DataFrame:
                 "start": place[from_],
                 "end": place[upto] + length,
                 "rank": pa.nulls(len(from_), pa.int64()),
-                "name": pa.nulls(len(from_), pa.int64()),
+                "core": pa.nulls(len(from_), pa.int64()),
+                "body": pa.nulls(len(from_), pa.binary()),
             },
         )
-        passed = order[opens & (pieces[row[order]] > 1)]
+        passed = np.zeros(len(order), dtype=bool)
+        passed[order] = opens & (pieces[row[order]] > 1)
+        block = (lead[row] - (start - edges[row])) // step
+        at = np.flatnonzero(passed)
+        if not len(at):
+            return
+        new = np.ones(len(at), dtype=bool)
+        new[1:] = (row[at[1:]] != row[at[:-1]]) | (block[at[1:]] != block[at[:-1]])
+        from_, upto = at[new], at[np.append(np.flatnonzero(new)[1:] - 1, len(at) - 1)]
+        # The bytes in all windows of the block, wherever the segment's own windows begin or end.
+        core = edges[row[from_]] + lead[row[from_]] - block[from_] * step
+        hashed = rolling.of(core, core + length - step + 1)
         yield arrays.batch(
             schema,
             {
-                "doc": doc[row[passed]],
-                "start": place[passed],
-                "end": place[passed] + length,
-                "rank": rank[row[passed]],
-                "name": arrays.signed(name[passed]),
+                "doc": doc[row[from_]],
+                "start": place[from_],
+                "end": place[upto] + length,
+                "rank": rank[row[from_]],
+                "core": arrays.signed(arrays.mixed(hashed + block[from_].astype(U64))),
+                "body": _binary(data, start[from_], start[upto] + length),
             },
         )
 
@@ -231,8 +267,32 @@ def _repeated_windows(segments: DataFrame, length: int) -> DataFrame:
         if waiting:
             yield from resolve(pa.Table.from_batches(waiting), schema)
 
+    return arrays.over(ordered, run, FOUND, columns)
+
+
+def _windows(blocks: DataFrame, length: int) -> DataFrame:
+    """``(rank, name, doc, start)``: every window of the blocks."""
+
+    def cut(batches, schema):
+        for rows in batches:
+            if not len(rows):
+                continue
+            data, edges = _flat(rows.column("body"))
+            n = np.diff(edges) - length + 1
+            start = arrays.gathered(edges[:-1], n)
+            row = np.repeat(np.arange(len(n)), n)
+            yield arrays.batch(
+                schema,
+                {
+                    "rank": rows.column("rank").to_numpy()[row],
+                    "name": arrays.signed(arrays.Rolling(data).of(start, start + length)),
+                    "doc": rows.column("doc").to_numpy()[row],
+                    "start": rows.column("start").to_numpy()[row] + (start - edges[row]),
+                },
+            )
+
     return arrays.over(
-        ordered, run, "doc bigint, start int, end int, rank bigint, name bigint", [*key, "pieces", "doc", "low", "body"]
+        blocks, cut, "rank bigint, name bigint, doc bigint, start int", ["rank", "doc", "start", "body"]
     )
 
 
@@ -242,7 +302,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     shared = sampled.groupBy("rank").agg(F.count(F.lit(1)).alias("anchors")).where("anchors > 1")
     alive = materialise(sampled.join(shared.select("rank"), "rank"), "shared-anchors")
     forget(sampled)
-    kind = ["rank", "segment", "n"]
+    kind = ["rank", "segment", "n", "lead"]
     firsts = materialise(alive.groupBy(*kind).agg(F.min(F.struct("doc", "low")).alias("first")), "first-segments")
     whole = (
         alive.join(firsts, kind)
@@ -250,21 +310,27 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         .select("doc", F.col("low").alias("start"), (F.col("low") + F.col("n") + length - 1).alias("end"))
     )
     several = firsts.groupBy("rank").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    open_segments = firsts.join(several, "rank").select("rank", "first.doc", "first.low", "n", "kinds")
+    open_segments = firsts.join(several, "rank").select(
+        "rank", "first.doc", "first.low", "n", "lead", "kinds"
+    )
     segments = materialise(_texts_of(docs, open_segments, length), "segments")
-    found = materialise(_repeated_windows(segments, length), "windows")
+    found = materialise(_repeated_windows(segments, length, STEP), "windows")
     forget(segments)
-    passed = found.where("name IS NOT NULL")
-    leaders = passed.groupBy("rank", "name").agg(F.min(F.struct("doc", "start")).alias("first"))
+    passed = found.where("core IS NOT NULL").select("rank", "core", "doc", "start", "body")
+    met_again = passed.groupBy("rank", "core").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    names = materialise(
+        _windows(passed.join(met_again.select("rank", "core"), ["rank", "core"]), length), "window-names"
+    )
+    leaders = names.groupBy("rank", "name").agg(F.min(F.struct("doc", "start")).alias("first"))
     across = (
-        passed.join(leaders, ["rank", "name"])
+        names.join(leaders, ["rank", "name"])
         .where("doc <> first.doc OR start <> first.start")
-        .select("doc", "start", "end")
+        .select("doc", "start", (F.col("start") + length).alias("end"))
     )
-    spans = whole.unionByName(found.where("name IS NULL").select("doc", "start", "end")).unionByName(across)
+    spans = whole.unionByName(found.where("core IS NULL").select("doc", "start", "end")).unionByName(across)
     per_doc = spans.groupBy("doc").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     out = materialise(per_doc, "spans")
-    forget(alive, firsts, found)
+    forget(alive, firsts, found, names)
     return out
 
 
