@@ -12,7 +12,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 U64 = np.uint64
 
 # A-Z to a-z, all other bytes as they are.
@@ -157,8 +157,14 @@ def over(rows, function, ddl: str, columns: list[str]):
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
+    bounded_batches(rows.sparkSession)
     schema = to_arrow_schema(StructType.fromDDL(ddl))
-    return rows.select(*columns).mapInArrow(lambda batches: function(batches, schema), ddl)
+
+    def run(batches):
+        yield from function(batches, schema)
+        give_back()
+
+    return rows.select(*columns).mapInArrow(run, ddl)
 
 
 class Numbering:
@@ -208,6 +214,17 @@ class Numbering:
             slots[left] = (slots[left] + 1) & ((1 << self.bits) - 1)
 
 
+def give_back() -> None:
+    """Return memory that is free in this worker to the machine, as the worker outlives its task."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def process_cache() -> dict:
     """A dictionary that lives as long as the worker process, across tasks."""
     import sys
@@ -239,3 +256,13 @@ def fresh(columns: list[str], name: str) -> str:
     while any(c.startswith(name) for c in taken):
         name = f"_{name}"
     return name
+
+
+def bounded_batches(spark) -> None:
+    """Fewer rows per Arrow batch than Spark's default, as the rows are whole texts.
+
+    A batch is held several times over, outside the heap and in the worker. A setting of the user's stays.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "1000")

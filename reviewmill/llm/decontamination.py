@@ -212,6 +212,7 @@ def blocks(
 
 def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, text_col="text", **where) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no window of the benchmark."""
+    arrays.bounded_batches(docs.sparkSession)
     rows = docs
     for get, _ in blocks(docs, benchmark, size, text_col, **where):
         rows = rows.where(_is_clean(get)(F.col(text_col)))

@@ -204,6 +204,7 @@ def dropped_keys(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame
 
 def deduplicated(docs: DataFrame, id_col="doc_id", text_col="text", made="line_dedup") -> DataFrame:
     """``docs`` with a column ``made``: a struct of ``n_lines``, ``n_dropped`` and ``kept``, the text left."""
+    arrays.bounded_batches(docs.sparkSession)
     drops = materialise(dropped_keys(docs, id_col, text_col), "line-drops")
     drops = drops.select(F.col("doc").alias(f"{made}_doc"), F.col("drops").alias(f"{made}_drops"))
     joined = docs.join(drops, _document(id_col) == F.col(f"{made}_doc"), "left")

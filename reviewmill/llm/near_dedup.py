@@ -409,6 +409,7 @@ def components(
     docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_col="doc_id", text_col="text"
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for each row of ``docs``."""
+    arrays.bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
     sketches = materialise(
         arrays.over(

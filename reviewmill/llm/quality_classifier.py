@@ -231,6 +231,7 @@ class Scorer:
 
 def score_column(docs: DataFrame, model: Model, text_col="text") -> Column:
     """The probability of label 1 as a column over ``docs``."""
+    arrays.bounded_batches(docs.sparkSession)
     get = arrays.sent(docs.sparkSession, model)
 
     @F.arrow_udf("double")

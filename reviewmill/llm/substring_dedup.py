@@ -39,7 +39,7 @@ LENGTH = 100
 GRAM = 32
 GROUP = 4096
 STEP = 8
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 LAST_ID = (1 << 63) - 1
 
 _PLACE_BITS = U64(24)  # of a place in a chunk
@@ -339,6 +339,7 @@ def deduplicated(
     made="substring_dedup",
 ) -> DataFrame:
     """``docs`` with a column ``made``: ``n_bytes``, ``n_removed``, ``n_spans``, and ``kept``, the bytes left."""
+    arrays.bounded_batches(docs.sparkSession)
     document = F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST_ID))
     spans = repeated_spans(docs.select(document.alias("doc"), F.col(text_col).alias("text")), length, gram)
     spans = spans.select(F.col("doc").alias(f"{made}_doc"), F.col("spans").alias(f"{made}_spans"))

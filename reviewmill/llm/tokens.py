@@ -9,6 +9,7 @@ by one, by the library that the file belongs to. The ids are those of that libra
 from __future__ import annotations
 
 import json
+from functools import cached_property
 
 import numpy as np
 
@@ -59,10 +60,8 @@ class Coder:
 
     def __init__(self, path: str, pattern: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.path = path
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
         special = {t["content"] for t in model.get("added_tokens", ())}
@@ -77,15 +76,24 @@ class Coder:
         )
         self.starts_word = np.zeros(max(model["model"]["vocab"].values()) + 1, dtype=bool)
         self.starts_word[[rank for token, rank in ranks.items() if token[:1] == b" "]] = True
-        self.known = arrays.Numbering(21)
+        self.known = arrays.Numbering(20)
         self._clear()
 
+    @cached_property
+    def whole(self):
+        """The file's own library; loaded for the first piece that needs it."""
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.path)
+        tokenizer.encode_special_tokens = True
+        return tokenizer
+
     def _clear(self) -> None:
         self.known.clear()
         self.ids = np.zeros(1 << 16, np.uint32)
         self.used = 0
-        self.offsets = np.zeros(1 << 16, np.int64)
-        self.lengths = np.zeros(1 << 16, np.int64)
+        self.offsets = np.zeros(1 << 16, np.int32)
+        self.lengths = np.zeros(1 << 16, np.int32)
 
     def _learn(self, hashes, pieces: list[np.ndarray]) -> None:
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
@@ -156,8 +164,8 @@ class Coder:
             at = new[where]
             self._encode_new(data, starts[at], ends[at], distinct)
             numbers = self.known.find(hashes)
-        lengths = self.lengths[numbers]
-        ids = self.ids[arrays.gathered(self.offsets[numbers], lengths)]
+        lengths = self.lengths[numbers].astype(np.int64)
+        ids = self.ids[arrays.gathered(self.offsets[numbers].astype(np.int64), lengths)]
         total = np.concatenate([[0], np.cumsum(lengths)])
         return ids, total[first]
 
