@@ -654,7 +654,7 @@ ORACLES: dict[str, str] = {
     "dist_by_class": _sql(
         ["reviews", "numbers"],
         f"""SELECT "column", class, {near("q1")} AS q1, {near("median")} AS median,
-                   {near("q3")} AS q3, count(*) AS n, {near("min(value)")} AS low,
+                   {near("q3")} AS q3, count(value) AS n, {near("min(value)")} AS low,
                    {near("max(value)")} AS high,
                    {near("min(value) FILTER (value >= q1 - 1.5 * (q3 - q1))")} AS whisker_low,
                    {near("max(value) FILTER (value <= q3 + 1.5 * (q3 - q1))")} AS whisker_high
