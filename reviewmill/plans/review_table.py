@@ -33,7 +33,7 @@ def reviews(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         "brand_name": ("source",),
     }
     read = dict.fromkeys(c for w in wanted for c in sources.get(w, ()))
-    rows = table("documents").select("doc_id", *read)
+    rows = spread(table("documents").select("doc_id", *read))
     if {"product_id", "price", "product_title", "avg_product_rating", "product_rating_count"} & set(wanted):
         products = (
             table("lineitem")
@@ -88,6 +88,12 @@ def reviews(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     )
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows over all cores, if their scan has fewer parts than there are cores to work on them."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, label)`` of the labelled documents."""
     table = spark.read.parquet(f"{sf_dir}/labels.parquet")
