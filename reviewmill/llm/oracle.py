@@ -117,3 +117,65 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+ORACLES["op12_passage_dedup"] = r"""
+WITH split AS MATERIALIZED (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0b\f\r]+'), lambda x: x <> '') AS words
+  FROM documents),
+windows AS MATERIALIZED (
+  SELECT doc_id, i, md5_number(w) AS name
+  FROM (SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS w
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM split))),
+firsts AS MATERIALIZED (
+  SELECT name, min((doc_id, i)) AS first FROM windows GROUP BY name HAVING count(*) > 1),
+starts AS (
+  SELECT doc_id, i FROM windows JOIN firsts USING (name) WHERE (doc_id, i) <> first),
+gone AS MATERIALIZED (
+  SELECT DISTINCT doc_id, i + k AS place FROM starts, (SELECT unnest(range(0, 20)) AS k)),
+placed AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM split),
+kept AS (
+  SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.place) AS text, count(*) AS n
+  FROM placed p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.place = g.place GROUP BY p.doc_id)
+SELECT s.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+       CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM split s LEFT JOIN kept k USING (doc_id)
+"""
+
+ORACLES["op13_prefix_trie"] = r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations),
+convs AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY place) AS turns,
+         xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+           lambda s, b: list_reduce(list_prepend(xor(s, b), range(8)),
+             lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) % 6 AS head
+  FROM turns GROUP BY conv_id),
+rebuilt AS MATERIALIZED (
+  SELECT c.conv_id, list_concat(coalesce(b.turns, [])[1:c.head], c.turns[c.head + 1:]) AS turns
+  FROM convs c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 100),
+prefixes AS (
+  SELECT conv_id, depth, len(turns) AS long, turns[1:depth] AS path
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt)),
+owned AS MATERIALIZED (
+  SELECT conv_id, depth, long, min(conv_id) OVER (PARTITION BY path) AS owner,
+         coalesce(length(path[depth].text), 0) AS chars FROM prefixes),
+counted AS MATERIALIZED (
+  SELECT owner, depth, count(*) AS n, (count(*) - 1) * any_value(chars) AS saved,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE depth = long), '') AS ends
+  FROM owned GROUP BY owner, depth),
+linked AS MATERIALIZED (
+  SELECT n.*, p.owner AS parent FROM counted n LEFT JOIN owned p ON p.conv_id = n.owner AND p.depth = n.depth - 1),
+children AS (
+  SELECT parent AS owner, depth - 1 AS depth, count(*) AS children FROM linked WHERE depth > 0 GROUP BY ALL),
+full_nodes AS MATERIALIZED (
+  SELECT l.*, coalesce(children, 0) AS children FROM linked l LEFT JOIN children USING (owner, depth)),
+sums AS (
+  SELECT a.owner, a.depth, count(*) FILTER (WHERE children = 0) AS leaves, sum(saved) AS saved
+  FROM full_nodes x JOIN owned a ON a.conv_id = x.owner AND a.depth <= x.depth GROUP BY a.owner, a.depth)
+SELECT owner AS conv_id, depth, parent AS parent_conv_id, n AS n_convs, children AS n_children,
+       leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(ends) AS ends_sha256
+FROM full_nodes f JOIN sums s USING (owner, depth)
+"""

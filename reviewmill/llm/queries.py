@@ -14,11 +14,14 @@ from reviewmill.llm import (
     line_dedup,
     near_dedup,
     packing,
+    passage_dedup,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     substring_dedup,
     toxicity,
 )
+from reviewmill.session import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -133,3 +136,25 @@ def op9_substring_dedup(spark, sf):
         "substring_dedup.n_spans",
         F.sha2("substring_dedup.kept", 256).alias("kept_sha256"),
     )
+
+
+@registered
+def op12_passage_dedup(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return passage_dedup.deduplicated(docs).select(
+        "doc_id",
+        "passage_dedup.n_words",
+        "passage_dedup.n_removed",
+        F.sha2("passage_dedup.kept", 256).alias("kept_sha256"),
+    )
+
+
+@registered
+def op13_prefix_trie(spark, sf):
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    convs = materialise(prefix_trie.conversations(turns), "conversations")
+    base = F.col("conv_id") - F.col("conv_id") % 100
+    # A conversation without an id has no head.
+    length = F.coalesce(F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6, F.lit(0)).cast("int")
+    rebuilt = materialise(prefix_trie.with_shared_heads(convs, base, length, 5), "rebuilt")
+    return prefix_trie.nodes(rebuilt)
