@@ -179,3 +179,48 @@ SELECT owner AS conv_id, depth, parent AS parent_conv_id, n AS n_convs, children
        leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(ends) AS ends_sha256
 FROM full_nodes f JOIN sums s USING (owner, depth)
 """
+
+ORACLES["op11_spelling_variants"] = r"""
+WITH steps AS MATERIALIZED (
+  SELECT list(list_reduce(list_prepend(CAST(b AS UINTEGER), [0, 1, 2, 3, 4, 5, 6, 7]::UINTEGER[]),
+    lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UINTEGER) ELSE x >> 1 END) ORDER BY b) AS step
+  FROM range(256) t(b)),
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM documents)
+  GROUP BY ALL),
+summed AS (
+  SELECT run, n, xor(4294967295::UINTEGER, list_reduce(
+           list_prepend(4294967295::UINTEGER,
+             list_transform(range(1, octet_length(encode(said)) + 1), lambda i: CAST(('0x' || hex(encode(said)[i:i])) AS UINTEGER))),
+           lambda s, b: xor(s >> 8, step[(xor(s, b) & 255) + 1]))) AS h
+  FROM (SELECT run, n, CAST(doc_id AS VARCHAR) || ':' || run AS said FROM runs), steps),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN left(run, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2)
+                ELSE run END AS word, n FROM summed)
+  GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3),
+cuts AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS MATERIALIZED (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n
+  FROM cuts a JOIN cuts b ON a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+  UNION SELECT w.word, w.n, c.word, c.n FROM words w JOIN cuts c ON w.word = c.head || c.tail
+  UNION SELECT c.word, c.n, w.word, w.n FROM words w JOIN cuts c ON w.word = c.head || c.tail),
+best AS (
+  SELECT word, count(DISTINCT other) AS n_near, min((-other_n, other)) AS first FROM pairs GROUP BY word),
+formed AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN -first[1] >= 2 * w.n THEN first[2] END AS form, CASE WHEN -first[1] >= 2 * w.n THEN -first[1] END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+walk AS (
+  WITH RECURSIVE w(word, reached) AS (
+    SELECT word, word FROM formed
+    UNION ALL SELECT w.word, f.form FROM w JOIN formed f ON w.reached = f.word WHERE f.form IS NOT NULL)
+  SELECT w.word, reached AS root FROM w JOIN formed f ON f.word = w.reached WHERE f.form IS NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM formed f JOIN (SELECT word AS w, root FROM walk) r
+  ON r.w = f.word
+"""

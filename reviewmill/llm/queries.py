@@ -18,6 +18,7 @@ from reviewmill.llm import (
     prefix_trie,
     quality_classifier,
     quality_rules,
+    spelling,
     substring_dedup,
     toxicity,
 )
@@ -158,3 +159,8 @@ def op13_prefix_trie(spark, sf):
     length = F.coalesce(F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6, F.lit(0)).cast("int")
     rebuilt = materialise(prefix_trie.with_shared_heads(convs, base, length, 5), "rebuilt")
     return prefix_trie.nodes(rebuilt)
+
+
+@registered
+def op11_spelling_variants(spark, sf):
+    return spelling.variants(table(spark, sf, "documents").select("doc_id", "text"))
