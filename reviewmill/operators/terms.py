@@ -16,7 +16,9 @@ from reviewmill.operators.lookup import lookup
 from reviewmill.session import materialise
 
 # Words of a list that are taken at a time; a longer list is taken in several parts.
-LIST_BYTES = 1 << 20
+LIST_BYTES = 4 << 20
+# Of a list, in a bucket.
+BUCKET_WORDS = 2
 
 
 def tokenized(reviews: DataFrame, column: str = "review_text") -> DataFrame:
@@ -56,24 +58,44 @@ def keep_long(documents: DataFrame, least: int = text.MIN_LENGTH) -> DataFrame:
 def drop_words(documents: DataFrame, words: DataFrame, list_bytes: int = LIST_BYTES) -> DataFrame:
     """Drop the words of a one-column table from every token array; all other columns stay.
 
-    Each row looks up which of its own tokens are listed, by hash, and drops those; no token is
-    shuffled. Lists come to the rows in parts of about ``list_bytes``. Null words list nothing.
+    The list comes to the rows as an array of buckets by hash, so a token is compared with the few words of its
+    own bucket, whatever the length of the list, and no token is shuffled. Long lists come in parts of about
+    ``list_bytes``. Null words list nothing.
     """
     word = F.col(words.columns[0])
-    listed = words.select(word.alias("word")).where("word IS NOT NULL")
-    total = listed.agg(F.sum(F.octet_length("word").cast("bigint") + 16)).first()[0] or 0
+    listed = words.select(word.alias("word")).where("word IS NOT NULL").distinct()
+    n, total = listed.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("word").cast("bigint") + 16), F.lit(0))
+    ).first()
     parts = max(1, math.ceil(total / list_bytes))
+    buckets = max(1, n // (parts * BUCKET_WORDS))
     for part in range(parts):
         some = listed.where(F.pmod(F.xxhash64("word"), F.lit(parts)) == part)
-        own = F.array_intersect("tokens", some.agg(F.collect_set("word")).scalar())
-        documents = (
-            documents.withColumn("_listed", own)
-            .withColumn("tokens", text.without(F.col("tokens"), F.col("_listed")))
-            .drop("_listed")
-        )
+        documents = _without_listed(documents, some, buckets)
     return documents
 
 
+def _bucket(word, buckets: int):
+    # Another seed than the one that deals the list into parts.
+    return F.pmod(F.xxhash64(word, F.lit(1)), F.lit(buckets)).cast("int")
+
+
+def _without_listed(documents: DataFrame, listed: DataFrame, buckets: int) -> DataFrame:
+    filled = listed.groupBy(_bucket("word", buckets).alias("bucket")).agg(F.collect_list("word").alias("words"))
+    every = listed.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
+    none = F.array().cast("array<string>")
+    table = (
+        every.join(filled, "bucket", "left")
+        .agg(F.sort_array(F.collect_list(F.struct("bucket", F.coalesce("words", none).alias("words")))).alias("all"))
+        .select(F.transform("all", lambda b: b["words"]))
+    )
+    # A column of its own, as a lambda cannot hold a subquery.
+    unlisted = F.filter(
+        "tokens", lambda t: ~F.array_contains(F.get("_known", _bucket(t, buckets)), t)
+    )
+    return documents.withColumn("_known", table.scalar()).withColumn("tokens", unlisted).drop("_known")
+
+
 def occurrences_of(documents: DataFrame) -> DataFrame:
     """``(doc_id, pos, token)``, one row per token.
 

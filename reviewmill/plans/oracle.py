@@ -131,14 +131,14 @@ def _lemmas(terms: str, lexicon: str) -> str:
     return f"""
         SELECT f.term, coalesce(m.lemma, f.term) AS lemma
         FROM {terms} f LEFT JOIN (
-            SELECT term, first(word ORDER BY length(word), word) AS lemma
-            FROM (SELECT t.term, left(t.term, length(t.term) - length(r.suffix)) || r.replacement
-                         AS word
-                  FROM {terms} t JOIN (VALUES {_rows(*NOUN_RULES)}) AS r(suffix, replacement)
-                       ON ends_with(t.term, r.suffix)
-                  UNION ALL SELECT term, term FROM {terms})
-            WHERE word IN (SELECT word FROM {lexicon})
-            GROUP BY term) m ON m.term = f.term"""
+            SELECT c.term, arg_min(c.word, (length(c.word), c.word)) AS lemma
+            FROM (SELECT t.term, left(t.term, length(t.term) - t.n) || r.replacement AS word
+                  FROM (SELECT term, unnest([1, 2, 3, 4]) AS n FROM {terms}) t
+                  JOIN (VALUES {_rows(*NOUN_RULES)}) AS r(suffix, replacement)
+                       ON right(t.term, t.n) = r.suffix AND t.n = length(r.suffix)
+                  UNION ALL SELECT term, term FROM {terms}) c
+            JOIN {lexicon} l ON l.word = c.word
+            GROUP BY c.term) m ON m.term = f.term"""
 
 
 CTES["lemmas"] = _lemmas("all_terms", "lexicon")
@@ -924,3 +924,141 @@ ORACLES["dt_stump"] = ORACLES["rf_one_tree"] = _sql(
                           ELSE (n1 - l1) / (n - nl) END AS p
               FROM variety v JOIN stump s ON s.f = v.fold)""",
 )
+
+# At its optimum, a regression's fitted moments are those of the data, which need no fit.
+CTES["left_out"] = "SELECT DISTINCT fold AS f FROM dealt"
+
+
+def _moments(cells: str) -> str:
+    """Sums of feature times label per training set, with -1 for the intercept."""
+    return f"""
+        SELECT g.f AS fold, c.idx, {near("sum(CASE WHEN d.fold <> g.f THEN c.value * d.label ELSE 0 END)")} AS observed,
+               TRUE AS optimal
+        FROM (SELECT doc_id, CAST(idx AS BIGINT) AS idx, CAST(value AS DOUBLE) AS value FROM {cells}
+              UNION ALL SELECT doc_id, -1, 1.0 FROM dealt) c
+        JOIN dealt d ON d.doc_id = c.doc_id, left_out g GROUP BY g.f, c.idx"""
+
+
+ORACLES["lr_certificate"] = _sql(
+    [*BODY, "body_mean", "dealt", "left_out"], _moments("(SELECT doc_id, dim AS idx, value FROM body_mean)")
+)
+
+
+def _tree(depth: int) -> str:
+    """Trees grown by exact Gini gain to a depth; splits whose sides say the same go, from the bottom up."""
+    ctes = [
+        """grown0 AS (SELECT g.f, v.doc_id, v.x1, v.x2, CAST(v.label AS DOUBLE) AS label, '' AS path
+           FROM variety v JOIN left_out g ON g.f <> v.fold)"""
+    ]
+    for i in range(depth):
+        ctes += [
+            f"""seen{i} AS (SELECT f, path, j, v, count(*)::DOUBLE AS n, sum(label) AS n1
+                FROM (SELECT f, path, label, unnest([1, 2]) AS j, unnest([x1, x2]) AS v FROM grown{i}) GROUP BY ALL)""",
+            f"""cut{i} AS (SELECT f, path, j, (v + lead(v) OVER w) / 2 AS t, sum(n) OVER w AS nl, sum(n1) OVER w AS l1,
+                       sum(n) OVER (PARTITION BY f, path, j) AS n, sum(n1) OVER (PARTITION BY f, path, j) AS n1
+                FROM seen{i} WINDOW w AS (PARTITION BY f, path, j ORDER BY v))""",
+            f"""best{i} AS (
+                SELECT *, 2 * n1 / n * (1 - n1 / n) - 2 * l1 / nl * (1 - l1 / nl) * nl / n
+                       - 2 * (n1 - l1) / (n - nl) * (1 - (n1 - l1) / (n - nl)) * (n - nl) / n AS gain
+                FROM cut{i} WHERE t IS NOT NULL
+                QUALIFY row_number() OVER (PARTITION BY f, path ORDER BY round(gain, 12) DESC, j, t) = 1)""",
+            f"""grown{i + 1} AS (
+                SELECT r.f, r.doc_id, r.x1, r.x2, r.label,
+                       r.path || CASE WHEN CASE WHEN j = 1 THEN x1 ELSE x2 END <= t THEN 'L' ELSE 'R' END AS path
+                FROM grown{i} r JOIN best{i} b ON b.f = r.f AND b.path = r.path WHERE gain > 1e-12)""",
+        ]
+    for i in reversed(range(depth)):
+        kept = f"SELECT f, path FROM kept{i + 1}" if i + 1 < depth else "SELECT f, path FROM grown0 WHERE FALSE"
+        ctes.append(
+            f"""kept{i} AS (
+                SELECT b.* FROM best{i} b WHERE gain > 1e-12 AND (
+                    (l1 / nl > 0.5) <> ((n1 - l1) / (n - nl) > 0.5)
+                    OR EXISTS (FROM ({kept}) k WHERE k.f = b.f AND k.path IN (b.path || 'L', b.path || 'R'))))"""
+        )
+    all_kept = " UNION ALL ".join(f"SELECT * FROM kept{i}" for i in range(depth))
+    return (
+        _sql(["reviews", "body_raw", "dealt", "left_out", "variety"], "@").replace("@", "").rstrip()
+        + ", "
+        + ", ".join(ctes)
+        + f"""
+        SELECT f AS fold, path, CAST(n AS BIGINT) AS n, CAST(n1 AS BIGINT) AS ones, CAST(j - 1 AS INTEGER) AS feature,
+               t AS threshold, {near("gain")} AS gain, TRUE AS best, TRUE AS same_predictions FROM ({all_kept})"""
+    )
+
+
+ORACLES["tree_replay"] = _tree(3)
+ORACLES["infold_tfidf"] = _sql(
+    [*FORMED, "body_pairs", "dealt", "left_out"],
+    f"""SELECT g.f AS fold, p.term, count(*) AS df, {near("ln((1.0 + any_value(s.n)) / (1.0 + count(*))) + 1")} AS idf
+        FROM body_pairs p JOIN dealt d ON d.doc_id = p.doc_id JOIN left_out g ON g.f <> d.fold
+        JOIN (SELECT g.f, count(*) AS n FROM dealt d JOIN left_out g ON g.f <> d.fold GROUP BY g.f) s ON s.f = g.f
+        GROUP BY g.f, p.term""",
+)
+_numbers = ("review_rating", "price", "avg_product_rating", "product_rating_count")
+_long = (
+    f"unnest([{', '.join(_quoted(c) for c in _numbers)}]) AS \"column\", "
+    f"unnest([{', '.join(f'CAST({c} AS DOUBLE)' for c in _numbers)}]) AS value"
+)
+ORACLES["infold_numeric"] = _sql(
+    ["reviews", "dealt", "left_out"],
+    f"""SELECT g.f AS fold, "column", count(*) AS n, {near("avg(value)")} AS mean, {near("stddev_pop(value)")} AS std,
+               {near("median(value)")} AS median
+        FROM (SELECT doc_id, {_long} FROM reviews) r JOIN dealt d ON d.doc_id = r.doc_id JOIN left_out g ON g.f <> d.fold
+        WHERE value IS NOT NULL GROUP BY g.f, "column\"""",
+)
+ORACLES["density_by_class"] = _sql(
+    ["reviews"],
+    f"""SELECT "column", class, CAST(point AS INTEGER) AS point, {near("x")} AS x,
+               {near("sum(n * exp(-0.5 * ((x - middle) / width) ** 2)) / any_value(size * width * sqrt(2 * pi()))")} AS density
+        FROM (SELECT *, low + point * (high - low) / 49 AS x, low + (bin + 0.5) * (high - low) / 400 AS middle
+              FROM (SELECT "column", class, low, high, size, width, count(*) AS n,
+                           least(floor((value - low) / (high - low) * 400), 399) AS bin
+                    FROM (SELECT CAST(is_a_buyer AS VARCHAR) AS class, {_long} FROM reviews WHERE is_a_buyer IS NOT NULL) v
+                    JOIN (SELECT "column", class, min(value) AS low, max(value) AS high, count(*)::DOUBLE AS size,
+                                 stddev_samp(value) * count(*)::DOUBLE ** -0.2 AS width
+                          FROM (SELECT CAST(is_a_buyer AS VARCHAR) AS class, {_long} FROM reviews)
+                          WHERE value IS NOT NULL AND class IS NOT NULL GROUP BY "column", class HAVING min(value) < max(value)) s
+                    USING ("column", class)
+                    WHERE value IS NOT NULL GROUP BY ALL), (SELECT unnest(range(50)) AS point))
+        GROUP BY "column", class, point, x""",
+)
+_formats = (("MM-dd-yyyy", "%m-%d-%Y"), ("dd-MM-yyyy", "%d-%m-%Y"), ("yyyy/MM/dd", "%Y/%m/%d"), ("yyyyMMdd", "%Y%m%d"))
+ORACLES["elect_date_format"] = f"""
+    WITH written AS (
+        SELECT CASE WHEN o_orderkey % 10 < 6 THEN strftime(o_orderdate, '%d-%m-%Y')
+                    WHEN o_orderkey % 10 < 8 THEN strftime(o_orderdate, '%m-%d-%Y')
+                    WHEN o_orderkey % 10 < 9 THEN strftime(o_orderdate, '%Y/%m/%d') END AS w FROM orders),
+    read AS (SELECT [{", ".join(f"try_strptime(w, '{f}')" for _, f in _formats)}] AS d FROM written),
+    votes AS (
+        {" UNION ALL ".join(
+            f"SELECT {i} AS place, '{name}' AS format, count(d[{i + 1}]) AS parsed,"
+            f" count(d[{i + 1}]) FILTER (WHERE len(list_filter(d, lambda x: x IS NOT NULL)) = 1) AS alone,"
+            f" count(d[{i + 1}]) FILTER (WHERE len(list_filter(d, lambda x: x <> d[{i + 1}])) > 0) AS ambiguous FROM read"
+            for i, (name, _) in enumerate(_formats))})
+    SELECT *, parsed > 0 AND row_number() OVER (ORDER BY parsed DESC, alone DESC, place) = 1 AS elected FROM votes"""
+ORACLES["vocab_file_check"] = _sql(
+    INDEXED,
+    """SELECT reason, line FROM (
+         SELECT 'malformed' AS reason, term || '-' || idx AS line FROM vocab WHERE idx % 50 = 7
+         UNION ALL SELECT 'missing index', CAST(idx AS VARCHAR) FROM vocab
+           WHERE idx % 50 IN (7, 13) AND idx < (SELECT max(idx) FROM vocab WHERE idx % 50 NOT IN (7, 13))
+         UNION ALL SELECT unnest(['repeated index', 'repeated index', 'repeated term', 'repeated term']), term || ':' || idx
+           FROM vocab WHERE idx % 50 = 21
+         UNION ALL SELECT 'repeated index', term || mark || ':' || idx FROM vocab, (SELECT unnest(['', '!']) AS mark) WHERE idx % 50 = 33
+         UNION ALL SELECT 'out of order', term || ':' || idx FROM vocab WHERE idx % 50 = 42
+         UNION ALL SELECT 'out of order', b.term || ':' || b.idx FROM vocab a JOIN vocab b ON b.idx = a.idx + 1
+           WHERE a.idx % 50 = 33 AND b.term <= a.term || '!')""",
+)
+ORACLES["vector_file_check"] = _sql(
+    [*BODY, "body_counts"],
+    """SELECT reason, line FROM (
+         SELECT *, unnest(CASE doc_id % 40
+             WHEN 3 THEN [('malformed', line || ';'), ('missing document', CAST(doc_id AS VARCHAR))]
+             WHEN 8 THEN [('missing document', CAST(doc_id AS VARCHAR))]
+             WHEN 14 THEN [('repeated document', line), ('repeated document', line)]
+             WHEN 22 THEN [('unknown document', '#-' || line[2:]), ('missing document', CAST(doc_id AS VARCHAR))]
+             WHEN 29 THEN [('unordered indexes', '#' || doc_id || ',7:1,5:2')]
+             WHEN 35 THEN [('index too large', '#' || doc_id || ',999999999:1')] END) AS p, p[1] AS reason_, p[2] AS line_
+         FROM (SELECT d.doc_id, '#' || d.doc_id || ',' || coalesce(string_agg(c.idx || ':' || c.tf, ',' ORDER BY c.idx), '') AS line
+               FROM documents d LEFT JOIN body_counts c ON c.doc_id = d.doc_id GROUP BY d.doc_id)) x""",
+).replace("SELECT reason, line FROM (\n         SELECT *, unnest", "SELECT p[1] AS reason, p[2] AS line FROM (\n         SELECT doc_id, unnest").replace(" AS p, p[1] AS reason_, p[2] AS line_", " AS p")

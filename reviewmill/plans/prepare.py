@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,13 +48,19 @@ def prepared(
 
 @dataclass(frozen=True)
 class Stemmed:
-    """The body after lemmas and stems: pairs, vocabulary, and the forms of all texts' terms."""
+    """The body after lemmas and stems: pairs, vocabulary, and the forms of all texts' terms.
+
+    The pairs are written when they are first asked for; the vocabulary and the titles do not need them.
+    """
 
     corpus: Prepared
     forms: DataFrame
-    pairs: DataFrame
     vocabulary: DataFrame
 
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return self.pairs_of(self.corpus.documents)
+
     def pairs_of(self, documents: DataFrame) -> DataFrame:
         """``(doc_id, term, tf)`` of other token documents, under the same forms."""
         return _written_pairs(documents, self.forms)
@@ -81,9 +88,7 @@ def stemmed(
         materialise(words.distinct(), "all-terms"), rules, lexicon, exceptions
     )
     known = corpus.terms.join(forms, "term").select(F.col("form").alias("term")).distinct()
-    return Stemmed(
-        corpus, forms, _written_pairs(corpus.documents, forms), vocabulary.build_vocabulary(known)
-    )
+    return Stemmed(corpus, forms, vocabulary.build_vocabulary(known))
 
 
 def processed_texts(documents: DataFrame) -> DataFrame:

@@ -6,18 +6,21 @@ Outputs are flat: token arrays as joined text, vectors as one row per value, dou
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.functions import text, values
 from reviewmill.functions.stopwords import stopword_table as default_stopwords
 from reviewmill.operators import (
+    certificates,
     consolidate,
+    dates,
     features,
     folds,
+    infold,
     metrics,
     models,
     profile,
@@ -29,13 +32,14 @@ from reviewmill.operators.features import Block
 from reviewmill.plans import grid, inputs, prepare
 from reviewmill.plans import review_table as given
 from reviewmill.session import fresh_path, materialise
-from reviewmill.sources import tables, wordlists
+from reviewmill.sources import checks, tables, wordlists
 from reviewmill.sources import vectors as vector_files
 from reviewmill.sources import vocabulary as vocabulary_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
 
+# The columns as the reviews name them.
 NUMERIC = ("review_rating", "price", "avg_product_rating", "product_rating_count")
 CORRELATED = (*NUMERIC, "brand_encoded", "product_encoded", "is_a_buyer")
 
@@ -809,3 +813,131 @@ def grid_text(spark, sf):
     body = {key: block for key, block in _inputs(spark, sf).items() if key[0] == metrics.SCOPES[0]}
     predictions = grid.grid_predictions(body, _labelled(spark, sf))
     return grid.results(predictions).drop("scope")
+
+
+# Checks of models, folds and files ----------------------------------------------------------
+
+
+def _numbered(spark, sf):
+    """The labelled reviews in folds that any engine can compute."""
+    return folds.stratified_folds(_labelled(spark, sf), shuffle_key=F.col("doc_id") * 7919 % 10007)
+
+
+def _certificate(entries, width, dealt, labels):
+    block = Block(materialise(entries, "entries"), width)
+    rows = grid.training_rows(block, labels, shuffle_key=F.col("doc_id") * 7919 % 10007)
+    tight = partial(models.logistic_regression, tol=1e-12)
+    proof = certificates.stationarity(block.entries, dealt, models.fitted_by_fold(rows, tight))
+    off = F.abs(F.col("fitted") - F.col("observed"))
+    return rounded(
+        proof.select("fold", "idx", "observed", (off <= 1e-4 * (1 + F.abs("observed"))).alias("optimal")), "observed"
+    )
+
+
+@registered
+def lr_certificate(spark, sf):
+    """Both sides of the optimality condition of the five regressions on mean vectors."""
+    means = _body_means(spark, sf, False)
+    width = vector_files.width(spark.read.parquet(f"{sf}/embeddings.parquet"), "embedding")
+    dealt = materialise(_numbered(spark, sf), "dealt")
+    return _certificate(features.vector_to_entries(means), width, dealt, _labelled(spark, sf))
+
+
+@registered
+def tree_replay(spark, sf, depth=3):
+    """The splits of five trees, replayed: rows routed by joins, gains against all other splits, predictions."""
+    rows = _narrow(spark, sf, _variety(spark, sf))
+    fitted = models.fitted_by_fold(rows, partial(models.decision_tree, depth=depth))
+    folds_of = [certificates.node_table(m, spark).withColumn("tree", F.lit(f)) for f, m in fitted.items()]
+    nodes = materialise(reduce(DataFrame.unionByName, folds_of), "nodes")
+    plain = rows.select("doc_id", "label", "fold", vector_to_array("features").alias("values"))
+    each = plain.withColumn("tree", F.explode(F.array(*map(F.lit, fitted))))
+    passed = materialise(certificates.routed(each, nodes, depth, "tree"), "replayed")
+    said = [
+        m.transform(rows).select("doc_id", F.lit(f).alias("tree"), F.col("prediction").alias("said"))
+        for f, m in fitted.items()
+    ]
+    leaves = passed.where("left IS NULL").join(reduce(DataFrame.unionByName, said), ["doc_id", "tree"])
+    wrong = materialise(leaves.groupBy("tree").agg(F.count_if(F.col("said") != F.col("prediction")).alias("wrong")), "wrong")
+    gains = certificates.split_gains(passed.where("fold <> tree"), "tree").join(wrong, "tree")
+    return rounded(
+        gains.select(
+            F.col("tree").alias("fold"), "path", "n", F.col("ones").cast("bigint").alias("ones"), "feature", "threshold",
+            "gain", (F.abs(F.col("gain") - F.col("best_gain")) < 1e-9).alias("best"), (F.col("wrong") == 0).alias("same_predictions"),
+        ),
+        "gain",
+    )
+
+
+@registered
+def infold_tfidf(spark, sf):
+    """The inverse document frequencies of each training set, from the whole's counts less the fold's."""
+    return rounded(infold.idf(_words(spark, sf).pairs, materialise(_numbered(spark, sf), "dealt")), "idf")
+
+
+@registered
+def infold_numeric(spark, sf):
+    """Size, mean, deviation and median of four numbers in each training set."""
+    table = given.reviews(spark, sf, *NUMERIC)
+    found = infold.numbers(table, materialise(_numbered(spark, sf), "dealt"), NUMERIC)
+    return rounded(found, "mean", "std", "median")
+
+
+@registered
+def density_by_class(spark, sf):
+    """Kernel densities of four numbers by class, as a violin plot draws them."""
+    table = given.reviews(spark, sf, *NUMERIC, "is_a_buyer")
+    return rounded(profile.class_densities(table, NUMERIC, "is_a_buyer"), "x", "density")
+
+
+@registered
+def elect_date_format(spark, sf):
+    """The format of a column of order dates written day first, month first and year first."""
+    day, kind = F.col("o_orderdate"), F.col("o_orderkey") % 10
+    written = (
+        F.when(kind < 6, F.date_format(day, "dd-MM-yyyy"))
+        .when(kind < 8, F.date_format(day, "MM-dd-yyyy"))
+        .when(kind < 9, F.date_format(day, "yyyy/MM/dd"))
+    )
+    orders = spark.read.parquet(f"{sf}/orders.parquet").select(written.alias("written"))
+    return dates.format_votes(orders, "written", ["MM-dd-yyyy", "dd-MM-yyyy", "yyyy/MM/dd", "yyyyMMdd"])
+
+
+@registered
+def vocab_file_check(spark, sf):
+    """Problems of a vocabulary file into which some of each kind were put."""
+    term, idx = F.col("term"), F.col("idx")
+    line = F.concat_ws(":", "term", "idx")
+    damaged = (
+        F.when(idx % 50 == 7, F.array(F.concat_ws("-", "term", "idx")))
+        .when(idx % 50 == 13, F.array().cast("array<string>"))
+        .when(idx % 50 == 21, F.array(line, line))
+        .when(idx % 50 == 33, F.array(line, F.concat_ws(":", F.concat(term, F.lit("!")), "idx")))
+        .when(idx % 50 == 41, F.array(F.concat(F.lit("~"), line)))
+        .otherwise(F.array(line))
+    )
+    path = fresh_path(spark, "vocabulary")
+    _words(spark, sf).vocabulary.select(F.explode(damaged).alias("value")).write.text(path)
+    return checks.vocabulary_problems(spark, path).select("reason", "line")
+
+
+@registered
+def vector_file_check(spark, sf):
+    """Problems of a file of count vectors into which some of each kind were put."""
+    words = _words(spark, sf)
+    docs = given.reviews(spark, sf, "review_id")
+    lines = vector_files.count_lines(vectors.count_vectors(words.pairs, words.vocabulary), docs)
+    line, kind = F.col("line"), F.col("doc_id") % 40
+    damaged = (
+        F.when(kind == 3, F.array(F.concat(line, F.lit(";"))))
+        .when(kind == 8, F.array().cast("array<string>"))
+        .when(kind == 14, F.array(line, line))
+        .when(kind == 22, F.array(F.concat(F.lit("#-"), F.substring(line, 2, 1 << 30))))
+        .when(kind == 29, F.array(F.concat(F.lit("#"), "doc_id", F.lit(",7:1,5:2"))))
+        .when(kind == 35, F.array(F.concat(F.lit("#"), "doc_id", F.lit(",999999999:1"))))
+        .otherwise(F.array(line))
+    )
+    path = fresh_path(spark, "count-vectors")
+    lines.select(F.explode(damaged).alias("value")).write.text(path)
+    found = checks.count_vector_problems(spark, path, docs, words.vocabulary.count())
+    return found.select("reason", "line")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_HEAD = r"^#(\d+),"
+_HEAD = r"^#(-?\d+),"
 
 
 def _identified(spark: SparkSession, path: str) -> DataFrame:
