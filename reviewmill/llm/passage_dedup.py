@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.llm import arrays
 from reviewmill.llm.arrays import U64
+from reviewmill.llm.joins import join_counted
 from reviewmill.session import forget, materialise
 
 WINDOW = 20
@@ -333,27 +334,26 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     """``(doc, tie, spans)`` of ``(doc, tie, text)``: runs of words that go, which may overlap."""
     where = ["doc", "tie", "low"]
     sampled = materialise(anchors(docs, window, gram), "word-anchors")
-    # Tables with a row per key are written before they are joined: what a join reads from storage on both sides
-    # can be split where one key is hot.
     shared = materialise(
-        sampled.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rank"), "shared-ranks"
+        sampled.groupBy("rank").agg(F.count(F.lit(1)).alias("met")).where("met > 1"), "shared-ranks"
     )
-    alive = materialise(sampled.join(shared, "rank"), "shared-word-anchors")
+    alive = materialise(join_counted(sampled, shared, ["rank"], "met").drop("met"), "shared-word-anchors")
     forget(sampled, shared)
 
     def firsts(rows: DataFrame, kind: list[str], *others) -> DataFrame:
-        return rows.groupBy(*kind).agg(F.min(F.struct(*where)).alias("first"), *others)
+        first = F.min(F.struct(*where)).alias("first")
+        return rows.groupBy(*kind).agg(first, F.count(F.lit(1)).alias("met"), *others)
 
     def copies(rows: DataFrame, kinds: DataFrame, kind: list[str], n) -> DataFrame:
         """Whole segments beyond the first of their kind."""
-        leaders = kinds.select(*kind, F.struct(*where).alias("first"))
-        later = rows.join(leaders, kind).where(F.struct(*(rows[c] for c in where)) != F.col("first"))
+        leaders = kinds.where("met > 1").select(*kind, F.struct(*where).alias("first"), "met")
+        later = join_counted(rows, leaders, kind, "met").where(F.struct(*where) != F.col("first"))
         start = F.col("low")
         return later.select("doc", "tie", start.alias("start"), (start + n + (window - 1)).alias("end"))
 
     kinds = materialise(
         firsts(alive, ["rank", "segment"], F.min("n").alias("n"), F.min("lead").alias("lead")).select(
-            "rank", "segment", "first.*", "n", "lead"
+            "rank", "segment", "first.*", "n", "lead", "met"
         ),
         "segments",
     )
@@ -373,8 +373,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
         found = whole.unionByName(cold)
     else:
         windows = materialise(_single_windows(split, window), "single-windows")
-        met = firsts(windows, ["rank"], F.count(F.lit(1)).alias("n"), F.min_by("body", F.struct(*where)).alias("body"))
-        met = materialise(met.where("n > 1").select("rank", "first.*", "body"), "window-firsts")
+        met = firsts(windows, ["rank"], F.min_by("body", F.struct(*where)).alias("body"))
+        met = materialise(met.where("met > 1").select("rank", "first.*", "body", "met"), "window-firsts")
         found = (
             whole.unionByName(cold)
             .unionByName(copies(windows.drop("body"), met, ["rank"], F.lit(1)))
