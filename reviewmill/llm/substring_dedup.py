@@ -19,8 +19,9 @@ anchor only the bytes they all share are ranked, and where that rank is unique,
 windows of the rest are then compared across pieces.
 
 Texts are UTF-8 bytes, null texts are empty, matches lie inside one text. Strings are judged on the
-input. A null id counts as the largest; rows with one id must have one text (repeated rows), and neither
-is earlier than the other. Other columns are kept, whatever their names.
+input. A null id counts as the largest. Rows with one id and one text are one document (all are cut alike); rows
+with one id and different texts are documents of their own, ordered by a hash of the text. Other columns are
+kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.llm import arrays
 from reviewmill.llm.arrays import U64
+from reviewmill.llm.joins import join_counted
 from reviewmill.session import forget, materialise
 
 LENGTH = 100
@@ -98,7 +100,7 @@ def anchors_of(some: arrays.Slice, length: int, gram: int):
 def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def sample(batches, schema):
         for rows in batches:
-            doc = rows.column("doc").to_numpy()
+            doc, tie = rows.column("doc").to_numpy(), rows.column("tie").to_numpy()
             for some in arrays.slices(rows.column("text"), CHUNK):
                 for part, at in _chunks(some, length):
                     row, rank, segment, low, n, lead = anchors_of(part, length, gram)
@@ -106,6 +108,7 @@ def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
                         schema,
                         {
                             "doc": doc[some.first + row],
+                            "tie": tie[some.first + row],
                             "rank": arrays.signed(rank),
                             "segment": arrays.signed(segment),
                             "low": low + at,
@@ -114,12 +117,15 @@ def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
                         },
                     )
 
-    return arrays.over(docs, sample, "doc bigint, rank bigint, segment bigint, low int, n int, lead int", ["doc", "text"])
+    return arrays.over(
+        docs, sample, "doc bigint, tie bigint, rank bigint, segment bigint, low int, n int, lead int",
+        ["doc", "tie", "text"],
+    )
 
 
 def _texts_of(docs: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
     """``firsts`` with the bytes of their segments."""
-    asked = firsts.groupBy("doc").agg(F.collect_list(F.struct("rank", "low", "n", "lead", "kinds")).alias("asked"))
+    asked = firsts.groupBy("doc", "tie").agg(F.collect_list(F.struct("rank", "low", "n", "lead", "kinds")).alias("asked"))
 
     def cut(batches, schema):
         for rows in batches:
@@ -140,6 +146,7 @@ def _texts_of(docs: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
                         "rank": rank[a:b],
                         "kinds": kinds[a:b],
                         "doc": rows.column("doc").to_numpy()[some.first + row],
+                        "tie": rows.column("tie").to_numpy()[some.first + row],
                         "low": low[a:b],
                         "lead": lead[a:b],
                         "body": pa.Array.from_buffers(
@@ -149,8 +156,9 @@ def _texts_of(docs: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
                 )
 
     return arrays.over(
-        docs.join(asked, "doc"), cut,
-        "rank bigint, kinds bigint, doc bigint, low int, lead int, body binary", ["doc", "text", "asked"],
+        docs.join(asked, ["doc", "tie"]), cut,
+        "rank bigint, kinds bigint, doc bigint, tie bigint, low int, lead int, body binary",
+        ["doc", "tie", "text", "asked"],
     )
 
 
@@ -171,22 +179,22 @@ def _binary(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     )
 
 
-FOUND = "doc bigint, start int, end int, rank bigint, core bigint, body binary"
+FOUND = "doc bigint, tie bigint, start int, end int, rank bigint, core bigint, body binary"
 
 
 def _repeated_windows(segments: DataFrame, length: int, step: int) -> DataFrame:
     """``FOUND``: repeated stretches, and (with a core) what pieces pass on."""
     pieces = F.ceil(F.col("kinds") / GROUP)
     dealt = segments.withColumn("pieces", pieces.cast("int")).withColumn(
-        "piece", F.pmod(F.xxhash64("doc", "low"), F.col("pieces")).cast("int")
+        "piece", F.pmod(F.xxhash64("doc", "tie", "low"), F.col("pieces")).cast("int")
     )
     key = ["rank", "piece"]
-    columns = [*key, "pieces", "doc", "low", "lead", "body"]
+    columns = [*key, "pieces", "doc", "tie", "low", "lead", "body"]
     ordered = dealt.select(*columns).repartition(*key).sortWithinPartitions(*key)
 
     def resolve(rows: pa.Table, schema):
-        rank, piece, pieces, doc, low, lead = (
-            rows[c].to_numpy() for c in ("rank", "piece", "pieces", "doc", "low", "lead")
+        rank, piece, pieces, doc, tie, low, lead = (
+            rows[c].to_numpy() for c in ("rank", "piece", "pieces", "doc", "tie", "low", "lead")
         )
         data, edges = _flat(rows["body"])
         n = np.diff(edges) - length + 1
@@ -195,12 +203,13 @@ def _repeated_windows(segments: DataFrame, length: int, step: int) -> DataFrame:
         rolling = arrays.Rolling(data)
         name = rolling.of(start, start + length)
         place = low[row] + (start - edges[row])
-        order = np.lexsort((place, doc[row], name, piece[row], rank[row]))
-        r, q, w, d, p = rank[row][order], piece[row][order], name[order], doc[row][order], place[order]
+        order = np.lexsort((place, tie[row], doc[row], name, piece[row], rank[row]))
+        r, q, w, p = rank[row][order], piece[row][order], name[order], place[order]
+        d, e = doc[row][order], tie[row][order]
         opens = np.ones(len(order), dtype=bool)
         opens[1:] = (r[1:] != r[:-1]) | (q[1:] != q[:-1]) | (w[1:] != w[:-1])
         first = np.flatnonzero(opens)[np.cumsum(opens) - 1]
-        later = (d != d[first]) | (p != p[first])
+        later = (d != d[first]) | (e != e[first]) | (p != p[first])
         # Neighbouring repeated windows of one segment make one stretch.
         gone = np.zeros(len(order), dtype=bool)
         gone[order] = later
@@ -213,6 +222,7 @@ def _repeated_windows(segments: DataFrame, length: int, step: int) -> DataFrame:
             schema,
             {
                 "doc": doc[row[from_]],
+                "tie": tie[row[from_]],
                 "start": place[from_],
                 "end": place[upto] + length,
                 "rank": pa.nulls(len(from_), pa.int64()),
@@ -236,6 +246,7 @@ def _repeated_windows(segments: DataFrame, length: int, step: int) -> DataFrame:
             schema,
             {
                 "doc": doc[row[from_]],
+                "tie": tie[row[from_]],
                 "start": place[from_],
                 "end": place[upto] + length,
                 "rank": rank[row[from_]],
@@ -271,7 +282,7 @@ def _repeated_windows(segments: DataFrame, length: int, step: int) -> DataFrame:
 
 
 def _windows(blocks: DataFrame, length: int) -> DataFrame:
-    """``(rank, name, doc, start)``: every window of the blocks."""
+    """``(rank, name, doc, tie, start)``: every window of the blocks."""
 
     def cut(batches, schema):
         for rows in batches:
@@ -287,49 +298,61 @@ def _windows(blocks: DataFrame, length: int) -> DataFrame:
                     "rank": rows.column("rank").to_numpy()[row],
                     "name": arrays.signed(arrays.Rolling(data).of(start, start + length)),
                     "doc": rows.column("doc").to_numpy()[row],
+                    "tie": rows.column("tie").to_numpy()[row],
                     "start": rows.column("start").to_numpy()[row] + (start - edges[row]),
                 },
             )
 
     return arrays.over(
-        blocks, cut, "rank bigint, name bigint, doc bigint, start int", ["rank", "doc", "start", "body"]
+        blocks, cut, "rank bigint, name bigint, doc bigint, tie bigint, start int",
+        ["rank", "doc", "tie", "start", "body"],
     )
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``(doc, spans)`` of ``(doc, text)``: repeated stretches of bytes, which may overlap."""
+    """``(doc, tie, spans)`` of ``(doc, tie, text)``: repeated stretches of bytes, which may overlap."""
+    count = F.count(F.lit(1))
     sampled = materialise(anchors(docs, length, gram), "anchors")
-    shared = sampled.groupBy("rank").agg(F.count(F.lit(1)).alias("anchors")).where("anchors > 1")
-    alive = materialise(sampled.join(shared.select("rank"), "rank"), "shared-anchors")
-    forget(sampled)
-    kind = ["rank", "segment", "n", "lead"]
-    firsts = materialise(alive.groupBy(*kind).agg(F.min(F.struct("doc", "low")).alias("first")), "first-segments")
+    shared = materialise(sampled.groupBy("rank").agg(count.alias("met")).where("met > 1"), "shared-ranks")
+    alive = materialise(join_counted(sampled, shared, ["rank"], "met").drop("met"), "shared-anchors")
+    forget(sampled, shared)
+    kind, place = ["rank", "segment", "n", "lead"], F.struct("doc", "tie", "low")
+    firsts = materialise(
+        alive.groupBy(*kind).agg(F.min(place).alias("first"), count.alias("met")), "first-segments"
+    )
     whole = (
-        alive.join(firsts, kind)
-        .where("doc <> first.doc OR low <> first.low")
-        .select("doc", F.col("low").alias("start"), (F.col("low") + F.col("n") + length - 1).alias("end"))
+        join_counted(alive, firsts.where("met > 1"), kind, "met")
+        .where(place != F.col("first"))
+        .select("doc", "tie", F.col("low").alias("start"), (F.col("low") + F.col("n") + length - 1).alias("end"))
     )
-    several = firsts.groupBy("rank").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    open_segments = firsts.join(several, "rank").select(
-        "rank", "first.doc", "first.low", "n", "lead", "kinds"
+    several = materialise(firsts.groupBy("rank").agg(count.alias("kinds")).where("kinds > 1"), "several")
+    open_segments = join_counted(firsts.drop("met"), several, ["rank"], "kinds").select(
+        "rank", "first.doc", "first.tie", "first.low", "n", "lead", "kinds"
     )
     segments = materialise(_texts_of(docs, open_segments, length), "segments")
     found = materialise(_repeated_windows(segments, length, STEP), "windows")
     forget(segments)
-    passed = found.where("core IS NOT NULL").select("rank", "core", "doc", "start", "body")
-    met_again = passed.groupBy("rank", "core").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    names = materialise(
-        _windows(passed.join(met_again.select("rank", "core"), ["rank", "core"]), length), "window-names"
+    passed = found.where("core IS NOT NULL").select("rank", "core", "doc", "tie", "start", "body")
+    met_again = materialise(
+        passed.groupBy("rank", "core").agg(count.alias("met")).where("met > 1"), "shared-cores"
+    )
+    again = join_counted(passed, met_again, ["rank", "core"], "met")
+    names = materialise(_windows(again, length), "window-names")
+    begin = F.struct("doc", "tie", "start")
+    leaders = materialise(
+        names.groupBy("rank", "name").agg(F.min(begin).alias("first"), count.alias("met")).where("met > 1"),
+        "window-leaders",
     )
-    leaders = names.groupBy("rank", "name").agg(F.min(F.struct("doc", "start")).alias("first"))
     across = (
-        names.join(leaders, ["rank", "name"])
-        .where("doc <> first.doc OR start <> first.start")
-        .select("doc", "start", (F.col("start") + length).alias("end"))
+        join_counted(names, leaders, ["rank", "name"], "met")
+        .where(begin != F.col("first"))
+        .select("doc", "tie", "start", (F.col("start") + length).alias("end"))
+    )
+    found_spans = found.where("core IS NULL").select("doc", "tie", "start", "end")
+    spans = whole.unionByName(found_spans).unionByName(across)
+    out = materialise(
+        spans.groupBy("doc", "tie").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "spans"
     )
-    spans = whole.unionByName(found.where("core IS NULL").select("doc", "start", "end")).unionByName(across)
-    per_doc = spans.groupBy("doc").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    out = materialise(per_doc, "spans")
     forget(alive, firsts, found, names)
     return out
 
@@ -341,8 +364,13 @@ def deduplicated(
     """``docs`` with a column ``made``: ``n_bytes``, ``n_removed``, ``n_spans``, and ``kept``, the bytes left."""
     arrays.bounded_batches(docs.sparkSession)
     document = F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST_ID))
-    spans = repeated_spans(docs.select(document.alias("doc"), F.col(text_col).alias("text")), length, gram)
-    spans = spans.select(F.col("doc").alias(f"{made}_doc"), F.col("spans").alias(f"{made}_spans"))
+    tie = F.xxhash64(F.col(id_col).isNull(), F.col(text_col))
+    keyed = docs.select(document.alias("doc"), tie.alias("tie"), F.col(text_col).alias("text"))
+    # Repeated rows are one document.
+    again = keyed.groupBy("doc", "tie").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1)
+    spans = repeated_spans(keyed if again.isEmpty() else keyed.dropDuplicates(["doc", "tie"]), length, gram)
+    names = {c: arrays.fresh([*docs.columns, made], f"sd_{c}") for c in ("doc", "tie", "spans")}
+    spans = spans.select(*(F.col(c).alias(name) for c, name in names.items()))
 
     @F.arrow_udf("struct<n_bytes: bigint, n_removed: bigint, n_spans: bigint, kept: binary>")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
@@ -375,7 +403,6 @@ def deduplicated(
             ["n_bytes", "n_removed", "n_spans", "kept"],
         )
 
-    joined = docs.join(spans, document == F.col(f"{made}_doc"), "left")
-    return joined.withColumn(made, cut(F.col(text_col), F.col(f"{made}_spans"))).drop(
-        f"{made}_doc", f"{made}_spans"
-    )
+    same = (document == F.col(names["doc"])) & (tie == F.col(names["tie"]))
+    joined = docs.join(spans, same, "left")
+    return joined.withColumn(made, cut(F.col(text_col), F.col(names["spans"]))).drop(*names.values())

@@ -9,18 +9,23 @@ from reviewmill.llm import queries, substring_dedup
 LAST = substring_dedup.LAST_ID
 
 
-def brute(texts, length=100):
-    """Bytes, removed bytes, runs and the rest of each text, window by window."""
+def brute(texts, ties=None, length=100):
+    """Bytes, removed bytes, runs and the rest of each text, window by window.
+
+    ``ties`` orders different texts of one id; rows of one id and one text are one document.
+    """
+    key = {(d, t): (LAST if d is None else d, d is None, (ties or {}).get((d, t), 0)) for d, t in texts}
     first = {}
-    for doc, text in sorted(((LAST if d is None else d), (t or "").encode()) for d, t in texts):
+    for (d, t), place in sorted(key.items(), key=lambda x: (x[1][0], x[1][2])):
+        text = (t or "").encode()
         for p in range(len(text) - length + 1):
-            first.setdefault(text[p : p + length], (doc, p))
+            first.setdefault(text[p : p + length], (place, p))
     out = []
     for doc, text in texts:
         data, gone = (text or "").encode(), set()
         upto = 0
         for p in range(len(data) - length + 1):
-            if first[data[p : p + length]] != ((LAST if doc is None else doc), p):
+            if first[data[p : p + length]] != (key[doc, text], p):
                 gone.update(range(max(p, upto), p + length))
                 upto = p + length
         runs = sum(1 for p in gone if p - 1 not in gone)
@@ -43,6 +48,15 @@ def test_edge_cases(spark):
     assert substring_dedup.deduplicated(docs, made="s").columns == [*docs.columns, "s"]
 
 
+def test_repeated_and_missing_ids(spark):
+    text = fixtures.words(1, 60)
+    other = fixtures.words(2, 15) + " " + text
+    texts = [(None, text), (None, other), (None, text + " x"), (7, text), (7, other), (7, other), (LAST, text)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    ties = {(r[0], r[1]): r[2] for r in docs.selectExpr("doc_id", "text", "xxhash64(doc_id IS NULL, text)").collect()}
+    assert found(docs) == brute(texts, ties)
+
+
 def test_empty_table(spark):
     assert substring_dedup.deduplicated(fixtures.empty(spark)).collect() == []
 
