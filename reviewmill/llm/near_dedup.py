@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.llm import arrays, graph
 from reviewmill.llm.arrays import U64
+from reviewmill.llm.joins import join_counted
 from reviewmill.session import materialise
 
 SHINGLE = 5
@@ -420,9 +421,14 @@ def components(
         "sketches",
     )
     key = ["key1", "key2", "n"]
-    first = sketches.where("n > 0 AND doc IS NOT NULL").groupBy(*key).agg(F.min("doc").alias("first"))
+    first = materialise(
+        sketches.where("n > 0 AND doc IS NOT NULL").groupBy(*key).agg(
+            F.min("doc").alias("first"), F.count(F.lit(1)).alias("met")
+        ),
+        "first-texts",
+    )
     members = materialise(
-        sketches.select("doc", *key).join(first, key, "left").select("doc", "n", F.expr("if(doc IS NULL, NULL, coalesce(first, doc))").alias("first")),
+        join_counted(sketches.select("doc", *key), first, key, "met", "left").select("doc", "n", F.expr("if(doc IS NULL, NULL, coalesce(first, doc))").alias("first")),
         "members",
     )
     firsts = members.where("doc = first AND n > 0").select("doc").distinct()
@@ -432,16 +438,16 @@ def components(
     )
 
     banded = distinct.select("doc", "n", F.explode("bands").alias("band"))
-    sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
+    sizes = materialise(banded.groupBy("band").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "band-sizes")
     # Only bands that several texts share go on.
-    shared = materialise(banded.join(sizes, "band"), "shared-bands")
+    shared = materialise(join_counted(banded, sizes, ["band"], "texts"), "shared-bands")
     company = shared.groupBy("doc").agg(F.sum("texts").alias("company"))
     shared = materialise(shared.drop("texts").join(company, "doc"), "shared-bands")
     heads = shared.groupBy("band").agg(
-        F.max(F.struct("company", (-F.col("doc")).alias("less"), "n")).alias("head")
+        F.max(F.struct("company", (-F.col("doc")).alias("less"), "n")).alias("head"), F.count(F.lit(1)).alias("texts")
     )
     star = (
-        shared.join(heads, "band")
+        join_counted(shared, materialise(heads, "band-heads"), ["band"], "texts")
         .select("doc", (-F.col("head.less")).alias("hub"), "n", F.col("head.n").alias("m"))
         .where("doc <> hub AND " + _near_size("n", "m", percent))
         .select(F.col("hub").alias("a"), F.col("doc").alias("b"))
