@@ -1062,3 +1062,11 @@ ORACLES["vector_file_check"] = _sql(
          FROM (SELECT d.doc_id, '#' || d.doc_id || ',' || coalesce(string_agg(c.idx || ':' || c.tf, ',' ORDER BY c.idx), '') AS line
                FROM documents d LEFT JOIN body_counts c ON c.doc_id = d.doc_id GROUP BY d.doc_id)) x""",
 ).replace("SELECT reason, line FROM (\n         SELECT *, unnest", "SELECT p[1] AS reason, p[2] AS line FROM (\n         SELECT doc_id, unnest").replace(" AS p, p[1] AS reason_, p[2] AS line_", " AS p")
+
+_stumps = ORACLES["dt_stump"].split("SELECT doc_id, label, CAST(p > 0.5", 1)
+ORACLES["resumed_grid"] = _recursive(
+    [*NEWTON, "body_raw", "variety", "values_seen", "splits", "gains", "stump"],
+    "SELECT 'Numbers' AS scope, 'Logistic Regression' AS model, doc_id, label, CAST(margin > 0 AS INTEGER) AS prediction, fold"
+    " FROM lr_scored UNION ALL SELECT 'Variety', 'Decision Tree', doc_id, label, CAST(p > 0.5 AS INTEGER), fold "
+    + _stumps[1][_stumps[1].index("FROM (SELECT v.doc_id") :],
+)

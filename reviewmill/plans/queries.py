@@ -29,7 +29,7 @@ from reviewmill.operators import (
     vocabulary,
 )
 from reviewmill.operators.features import Block
-from reviewmill.plans import grid, inputs, prepare
+from reviewmill.plans import grid, inputs, ledger, prepare
 from reviewmill.plans import review_table as given
 from reviewmill.session import fresh_path, materialise
 from reviewmill.sources import checks, tables, wordlists
@@ -941,3 +941,28 @@ def vector_file_check(spark, sf):
     lines.select(F.explode(damaged).alias("value")).write.text(path)
     found = checks.count_vector_problems(spark, path, docs, words.vocabulary.count())
     return found.select("reason", "line")
+
+
+@registered
+def resumed_grid(spark, sf):
+    """Two configurations through a ledger: one run stopped after the first, one that goes on from there."""
+    scaled = features.numeric_features(given.reviews(spark, sf, "price", "avg_product_rating"))
+    runs = [
+        ("Numbers", scaled, {"Logistic Regression": partial(models.logistic_regression, tol=1e-12)}),
+        ("Variety", _variety(spark, sf), {"Decision Tree": partial(models.decision_tree, depth=1)}),
+    ]
+    book, labels = ledger.Ledger(spark, fresh_path(spark, "ledger")), _labelled(spark, sf)
+
+    def run(some):
+        parts = []
+        for scope, numbers, registry in some:
+            block = Block(features.columns_to_entries(numbers), len(numbers.columns) - 1)
+            parts.append(
+                ledger.resumed_predictions(
+                    book, {(scope, "Numbers"): block}, labels, registry, shuffle_key=F.col("doc_id") * 7919 % 10007
+                )
+            )
+        return reduce(DataFrame.unionByName, parts)
+
+    run(runs[:1])
+    return run(runs).select("scope", "model", "doc_id", "label", "prediction", "fold")
