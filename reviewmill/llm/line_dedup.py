@@ -2,14 +2,15 @@
 
 A line's key is the line without white space at its ends, A-Z in lower case; keys of at least
 ``MIN_CHARS`` code points found in two documents or more lose their lines everywhere but in the
-document with the smallest id. The distinct repeated keys are dealt into shards by hash; a task
-builds for each shard a minimal perfect hash and, in its order, arrays of fingerprints, first documents
-and counts. The documents' keys (16 bytes each, one per document and key) are dealt to the
-shards and probe the arrays. A shard that very many keys probe, as one line may be held by a third
+document with the smallest id. All distinct keys are dealt into shards by hash; a task builds for each shard a minimal
+perfect hash and, in its order, arrays of fingerprints, first documents and counts. The documents' keys
+(16 bytes each, one per document and key) are dealt to the shards, probe the arrays, and what they read
+there decides. A shard that very many keys probe, as one line may be held by a third
 of all documents, is copied, and each copy gets a bounded share of the probes.
 
 Null and empty texts are one empty line. Rows with one id are one document; a null id is a document
-after all others. Keys are 128-bit hashes. Other columns are kept, whatever their names.
+after all others. Keys are 128-bit hashes, all of whose bits place a key, so that lines with one 64-bit half
+are told apart. Other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -86,12 +87,16 @@ def _document(id_col: str):
 # A shard: minimal perfect hash, fingerprints, first documents, counts ------------------------
 
 
-def _hash(keys: np.ndarray, level: int) -> np.ndarray:
-    return arrays.mixed(keys ^ arrays.mixed(np.full(1, level + 1, U64) * _FIRST_LEVEL))
+def _hash(h: np.ndarray, f: np.ndarray, level: int) -> np.ndarray:
+    return arrays.mixed(h ^ arrays.mixed(f + np.full(1, level + 1, U64) * _FIRST_LEVEL))
+
+
+def _fingerprint(h: np.ndarray, f: np.ndarray) -> np.ndarray:
+    return (arrays.mixed(h + f) >> U64(32)).astype("<u4")
 
 
 def build(h: np.ndarray, f: np.ndarray, first: np.ndarray, count: np.ndarray) -> dict:
-    """The arrays of one shard.
+    """The arrays of one shard, given distinct keys.
 
     Each level is a bit array with two bits for each key that is left; keys alone on their bit stay
     there, the others go on to the next level. A key's number is the rank of its bit.
@@ -101,7 +106,7 @@ def build(h: np.ndarray, f: np.ndarray, first: np.ndarray, count: np.ndarray) ->
     numbered = 0
     while len(left):
         size = max(8, 2 * len(left))
-        place = (_hash(h[left], len(levels)) % U64(size)).astype(np.int64)
+        place = (_hash(h[left], f[left], len(levels)) % U64(size)).astype(np.int64)
         alone = np.bincount(place, minlength=size) == 1
         stays = alone[place]
         rank = np.cumsum(alone) - 1
@@ -111,13 +116,13 @@ def build(h: np.ndarray, f: np.ndarray, first: np.ndarray, count: np.ndarray) ->
         bits.append(alone)
         left = left[~stays]
         if len(levels) > 200:
-            raise ValueError("two lines with one 64-bit hash in a shard")
+            raise ValueError("a key was given twice")
     order = np.empty(len(h), np.int64)
     order[numbers] = np.arange(len(h))
     return {
         "levels": levels,
         "bits": np.packbits(np.concatenate(bits)).tobytes() if bits else b"",
-        "fingerprints": f[order].astype("<u8").tobytes(),
+        "fingerprints": _fingerprint(h, f)[order].tobytes(),
         "firsts": first[order].astype("<i8").tobytes(),
         "counts": count[order].astype("<i8").tobytes(),
     }
@@ -127,20 +132,20 @@ def probe(shard: dict, h: np.ndarray, f: np.ndarray):
     """Whether each key is in the shard, and its first document and count if so."""
     firsts = np.frombuffer(shard["firsts"], "<i8")
     counts = np.frombuffer(shard["counts"], "<i8")
-    fingerprints = np.frombuffer(shard["fingerprints"], "<u8")
+    fingerprints = np.frombuffer(shard["fingerprints"], "<u4")
     levels = list(shard["levels"])
     bits = np.unpackbits(np.frombuffer(shard["bits"], np.uint8))[: sum(levels)]
     ranks = np.cumsum(bits, dtype=np.int64) - 1
     number = np.full(len(h), -1, np.int64)
     left, base = np.arange(len(h)), 0
     for level, size in enumerate(levels):
-        place = base + (_hash(h[left], level) % U64(size)).astype(np.int64)
+        place = base + (_hash(h[left], f[left], level) % U64(size)).astype(np.int64)
         hit = bits[place] == 1
         number[left[hit]] = ranks[place[hit]]
         left = left[~hit]
         base += size
     known = number >= 0
-    known[known] = fingerprints[number[known]] == f[known]
+    known[known] = fingerprints[number[known]] == _fingerprint(h[known], f[known])
     at = np.where(known, number, 0)
     return known, firsts[at] if len(firsts) else at, counts[at] if len(counts) else at
 
@@ -148,7 +153,7 @@ def probe(shard: dict, h: np.ndarray, f: np.ndarray):
 SHARD = "shard bigint, levels array<bigint>, bits binary, fingerprints binary, firsts binary, counts binary"
 
 
-def shards_of(repeated: DataFrame, n_shards: int) -> DataFrame:
+def shards_of(distinct: DataFrame, n_shards: int) -> DataFrame:
     def one(table: pa.Table) -> pa.Table:
         h, f = (table[c].to_numpy().view(U64) for c in ("h", "f"))
         made = build(h, f, table["first"].to_numpy(), table["n"].to_numpy())
@@ -161,20 +166,19 @@ def shards_of(repeated: DataFrame, n_shards: int) -> DataFrame:
         )
 
     shard = F.pmod("h", F.lit(n_shards))
-    return repeated.withColumn("shard", shard).groupBy("shard").applyInArrow(one, SHARD)
+    return distinct.withColumn("shard", shard).groupBy("shard").applyInArrow(one, SHARD)
 
 
 def dropped_keys(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """``(doc, drops)``: the keys whose lines a document loses, for documents that lose any."""
     keys = materialise(line_keys(docs, id_col, text_col), "line-keys")
-    repeated = materialise(
-        keys.groupBy("h", "f")
-        .agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n"))
-        .where("first < last"),
-        "repeated-lines",
+    # Partial sums before the shuffle: a key that all documents hold is a row per task.
+    distinct = materialise(
+        keys.groupBy("h", "f").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")),
+        "distinct-lines",
     )
-    n_shards = max(1, -(-repeated.count() // SHARD_KEYS))
-    shards = materialise(shards_of(repeated, n_shards), "shards")
+    n_shards = max(1, -(-distinct.count() // SHARD_KEYS))
+    shards = materialise(shards_of(distinct, n_shards), "shards")
     dealt = keys.withColumn("shard", F.pmod("h", F.lit(n_shards)))
     # One row per shard.
     copies = dealt.groupBy("shard").agg(
@@ -191,8 +195,8 @@ def dropped_keys(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame
         if not len(left) or not len(right):
             return left.select(["doc", "h", "f"]).slice(0, 0)
         h, f, doc = (left[c].to_numpy() for c in ("h", "f", "doc"))
-        known, first, _ = probe(right.to_pylist()[0], h.view(U64), f.view(U64))
-        return left.select(["doc", "h", "f"]).filter(pa.array(known & (first != doc)))
+        known, first, count = probe(right.to_pylist()[0], h.view(U64), f.view(U64))
+        return left.select(["doc", "h", "f"]).filter(pa.array(known & (count > 1) & (first != doc)))
 
     drops = (
         probes.groupBy("shard", "copy")
