@@ -6,11 +6,11 @@ weights per language) and the languages whose list of frequent words holds it; t
 the languages of neighbouring words are learned too. Forward-backward gives the words'
 marginals; a document's language is the one with the largest sum of them and its score their mean.
 
-Learning takes at most about ``SAMPLE`` rows per language, chosen by a hash of the id, and of
-each at most ``STRETCHES`` stretches of ``STRETCH`` words, spread evenly over the whole text. As rows have one
-language each, stretches of several are strung together, so that switches are seen. NumPy gradient
-steps maximise the likelihood. Scoring takes whole texts: rows of over ``LANE`` words run as several
-lanes that overlap by ``OVERLAP`` words on both sides, by when the messages have forgotten their start.
+Learning takes the whole texts of at most about ``SAMPLE`` rows per language, chosen by a hash of the id.
+As rows have one language each, stretches of several are strung together, so that switches are seen; a stretch
+may start at any word, and every row is as likely to give it. NumPy gradient steps, at most ``STEPS``, maximise
+the likelihood. Scoring takes whole texts: rows of over ``LANE`` words run as several lanes in step, with the
+exact messages at their borders, which the products of the lanes' step matrices give beforehand.
 
 Texts that are null or hold no letter are ``und`` with score 0, and so is everything if there is nothing to
 learn from. Words without letters carry no label weight. Null languages and ids are not learned from.
@@ -32,14 +32,13 @@ from reviewmill.llm.decontamination import words_of
 
 BUCKETS = 1 << 15
 SAMPLE = 250
-STRETCHES = 12
 STRETCH = 40
 LEXICON = 300
 EPOCHS = 3
+STEPS = 1500
 RATE = 0.5
 SWITCH = 15  # mean words between switches in the strung sequences
 LANE = 1024
-OVERLAP = 64
 SEED = 11
 
 _KINDS = arrays.mixed(np.arange(201, 220, dtype=U64))
@@ -94,18 +93,25 @@ def has_letter(data, starts, ends) -> np.ndarray:
     return upto[ends] > upto[starts]
 
 
-def marginals(potential: list[np.ndarray], transitions: np.ndarray) -> tuple[list, list, list]:
+def marginals(
+    potential: list[np.ndarray], transitions: np.ndarray, entering=None, leaving=None
+) -> tuple[list, list, list]:
     """Forward and backward messages and marginals of lanes in step.
 
     ``potential[t]`` holds the word weights (not logs) at step t for the lanes that have so many words,
-    which are the first so many lanes.
+    which are the first so many lanes. Lanes that go on from others or are gone on with have their messages
+    in ``entering`` (to the first word, transition included) and ``leaving`` (back to the last word); else
+    these are ones.
     """
     forward, backward = [], [None] * len(potential)
     for t, p in enumerate(potential):
-        a = p if t == 0 else (forward[-1][: len(p)] @ transitions) * p
+        if t == 0:
+            a = p if entering is None else entering * p
+        else:
+            a = (forward[-1][: len(p)] @ transitions) * p
         forward.append(a / a.sum(axis=1, keepdims=True))
     for t in range(len(potential) - 1, -1, -1):
-        b = np.ones_like(potential[t])
+        b = np.ones_like(potential[t]) if leaving is None else leaving[: len(potential[t])].copy()
         if t + 1 < len(potential):
             go_on = len(potential[t + 1])
             later = (potential[t + 1] * backward[t + 1]) @ transitions.T
@@ -115,24 +121,35 @@ def marginals(potential: list[np.ndarray], transitions: np.ndarray) -> tuple[lis
     return forward, backward, [m / m.sum(axis=1, keepdims=True) for m in both]
 
 
-# Learning --------------------------------------------------------------------------------------
+def products(potential: list[np.ndarray], transitions: np.ndarray, opens: np.ndarray) -> np.ndarray:
+    """Of each lane the product of its step matrices, scaled; ``opens`` marks lanes that begin a row."""
+    n_lanes, n = len(opens), len(transitions)
+    out = np.empty((n_lanes, n, n))
+    out[:] = np.where(opens[:, None, None], np.eye(n), transitions) * potential[0][:, None, :]
+    for p in potential[1:]:
+        go_on = (out[: len(p)].reshape(-1, n) @ transitions).reshape(-1, n, n) * p[:, None, :]
+        out[: len(p)] = go_on / go_on.max(axis=(1, 2), keepdims=True)
+    return out
+
+
+def border_messages(matrices: np.ndarray, transitions: np.ndarray, lanes: list[np.ndarray]):
+    """``entering`` and ``leaving`` of all lanes, given for each row its lanes in the order of its text."""
+    entering, leaving = np.ones((2, len(matrices), len(transitions)))
+    for row in lanes:
+        a = np.ones(len(transitions))
+        for before, lane in zip(row[:-1], row[1:]):
+            a = a @ matrices[before]
+            a /= a.sum()
+            entering[lane] = a @ transitions
+        b = np.ones(len(transitions))
+        for lane, after in zip(row[-2::-1], row[:0:-1]):
+            b = matrices[after] @ b
+            b /= b.sum()
+            leaving[lane] = b
+    return entering, leaving
 
 
-def _stretches(batches, schema):
-    for rows in batches:
-        langs, texts = [], []
-        lang = rows.column("lang").to_pylist()
-        for some in arrays.slices(rows.column("text")):
-            data, starts, ends, first, _ = words_of(some)
-            for i in range(some.last - some.first):
-                a, b = int(first[i]), int(first[i + 1])
-                n = min(STRETCHES, -(-(b - a) // STRETCH))
-                for k in range(n):
-                    s = a + (b - a) * k // n
-                    e = min(b, s + STRETCH)
-                    texts.append(b" ".join([data[x:y].tobytes() for x, y in zip(starts[s:e], ends[s:e])]).decode())
-                    langs.append(lang[some.first + i])
-        yield arrays.batch(schema, {"lang": langs, "text": texts})
+# Learning --------------------------------------------------------------------------------------
 
 
 def fit(docs: DataFrame, may_learn: Column | None = None, sample: int = SAMPLE) -> Model | None:
@@ -149,10 +166,9 @@ def fit(docs: DataFrame, may_learn: Column | None = None, sample: int = SAMPLE)
     share = F.lit(0.0)
     for lang, n in sorted(counts.items()):
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample / n))).otherwise(share)
-    # Bounded: rows by `sample`, words of a row by STRETCHES times STRETCH.
-    seen = arrays.over(
-        known.where(place < share), _stretches, "lang string, text string", ["lang", "text"]
-    ).toArrow()
+    # Bounded by `sample`: so many rows of each language, as whole texts.
+    arrays.bounded_batches(docs.sparkSession)
+    seen = known.where(place < share).select("lang", F.coalesce("text", F.lit("")).alias("text")).toArrow()
     languages = sorted(counts)
     return train(languages, seen["lang"].to_pylist(), seen["text"].combine_chunks())
 
@@ -170,11 +186,14 @@ def train(languages: list[str], langs: list[str], texts: pa.Array) -> Model:
     if some is None or not len(some.data):
         return empty
     data, starts, ends, first, hashes = words_of(some)
-    label = np.repeat([number[x] for x in langs], np.diff(first))
+    row_label = np.array([number[x] for x in langs])
+    label, row = np.repeat(row_label, np.diff(first)), np.repeat(np.arange(len(langs)), np.diff(first))
     distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
     lists = []
+    in_row = np.unique(row * len(distinct) + which)  # rows count, so that no long text fills the list
+    row_of, word_of = in_row // len(distinct), in_row % len(distinct)
     for k in range(n_lang):
-        n = np.bincount(which[label == k], minlength=len(distinct))
+        n = np.bincount(word_of[row_label[row_of] == k], minlength=len(distinct))
         top = np.lexsort((distinct, -n))[:LEXICON]
         lists.append(top[n[top] > 1])
     lexicon = np.unique(np.concatenate(lists))
@@ -191,9 +210,13 @@ def train(languages: list[str], langs: list[str], texts: pa.Array) -> Model:
     weights, transitions, lexical = model.weights, model.transitions, model.lexical
     squares = [np.full(x.shape, 1e-4) for x in (weights, transitions, lexical)]
     pool = [np.flatnonzero(label == k) for k in range(n_lang)]
+    # Where the rows of a language begin in its pool, and how many words they have.
+    sizes = [np.diff(first)[row_label == k] for k in range(n_lang)]
+    sizes = [n[n > 0] for n in sizes]
+    begins = [np.cumsum(n) - n for n in sizes]
     longest = max(map(len, pool))
     batch = 48
-    for _ in range(EPOCHS * max(1, longest * n_lang // (batch * STRETCH))):
+    for _ in range(min(STEPS, EPOCHS * max(1, longest * n_lang // (batch * STRETCH)))):
         # Sequences of STRETCH places; at each place the language may switch.
         switch = random.random((STRETCH, batch)) < 1 / SWITCH
         drawn = random.integers(0, n_lang, (STRETCH, batch))
@@ -207,7 +230,8 @@ def train(languages: list[str], langs: list[str], texts: pa.Array) -> Model:
                 here = truth[t] == k
                 if not here.any() or not len(pool[k]):
                     continue
-                new = random.integers(0, len(pool[k]), batch)
+                one = random.integers(0, len(sizes[k]), batch)
+                new = begins[k][one] + (random.random(batch) * sizes[k][one]).astype(np.int64)
                 if t:
                     new = np.where(jump, new, (source[t - 1] + 1) % len(pool[k]))
                 source[t, here] = new[here]
@@ -284,6 +308,12 @@ class Labeller:
             number = self.known.find(hashes)
         return self.kept[number]
 
+    @staticmethod
+    def _steps(potential, low, high) -> list[np.ndarray]:
+        """The potentials of lanes, longest first, step by step."""
+        active = np.searchsorted(low - high, -np.arange(int((high - low).max())), "left")
+        return [potential[low[:n] + t] for t, n in enumerate(active)]
+
     def sums(self, some: arrays.Slice):
         """Per row the sum of the marginals and the number of words with letters."""
         data, starts, ends, first, hashes = words_of(some)
@@ -295,19 +325,24 @@ class Labeller:
         counts = has_letter(data, starts, ends).astype(float)
         n_lanes = -(-np.diff(first) // LANE)
         row = np.repeat(np.arange(n_rows), n_lanes)
-        own = first[row] + arrays.gathered(np.zeros(n_rows, np.int64), n_lanes) * LANE
-        own_end = np.minimum(own + LANE, first[row + 1])
-        low = np.maximum(own - OVERLAP, first[row])
-        high = np.minimum(own_end + OVERLAP, first[row + 1])
+        part = arrays.gathered(np.zeros(n_rows, np.int64), n_lanes)
+        low = first[row] + part * LANE
+        high = np.minimum(low + LANE, first[row + 1])
         order = np.argsort(low - high, kind="stable")  # longest first
-        row, own, own_end, low, high = (x[order] for x in (row, own, own_end, low, high))
-        active = np.searchsorted(low - high, -np.arange(int((high - low).max())), "left")
-        steps = [potential[low[:n] + t] for t, n in enumerate(active)]
-        found = marginals(steps, self.step)[2]
+        row, part, low, high = (x[order] for x in (row, part, low, high))
+        steps = self._steps(potential, low, high)
+        entering = leaving = None
+        split = np.flatnonzero(n_lanes[row] > 1)
+        if len(split):
+            matrices = products(self._steps(potential, low[split], high[split]), self.step, part[split] == 0)
+            in_order = np.lexsort((part[split], row[split]))
+            parts_of = np.split(in_order, np.flatnonzero(np.diff(row[split][in_order])) + 1)
+            entering, leaving = np.ones((2, len(row), n_lang))
+            entering[split], leaving[split] = border_messages(matrices, self.step, parts_of)
+        found = marginals(steps, self.step, entering, leaving)[2]
         lanes = np.zeros((len(row), n_lang))
-        for t, (n, m) in enumerate(zip(active, found)):
-            at = low[:n] + t
-            lanes[:n] += m * (counts[at] * ((at >= own[:n]) & (at < own_end[:n])))[:, None]
+        for t, m in enumerate(found):
+            lanes[: len(m)] += m * counts[low[: len(m)] + t][:, None]
         for k in range(n_lang):
             total[:, k] = np.bincount(row, lanes[:, k], n_rows)
         return total, np.diff(np.concatenate([[0], np.cumsum(counts)])[first])

@@ -175,6 +175,34 @@ def test_lanes_of_long_texts_agree_with_one_lane(spark, monkeypatch):
     text = " ".join(r[1] for r in rows)
     some = next(arrays.slices(pa.array([text, "", text[:50]])))
     whole = language_id.Labeller(model).sums(some)
-    monkeypatch.setattr(language_id, "LANE", 200)
-    lanes = language_id.Labeller(model).sums(some)
-    assert np.allclose(whole[0], lanes[0], atol=1e-3) and (whole[1] == lanes[1]).all()
+    for lane in (200, 37, 7, 1):
+        monkeypatch.setattr(language_id, "LANE", lane)
+        lanes = language_id.Labeller(model).sums(some)
+        assert np.allclose(whole[0], lanes[0], rtol=0, atol=1e-9) and (whole[1] == lanes[1]).all()
+
+
+def test_messages_at_lane_borders_equal_enumeration():
+    rng = np.random.default_rng(5)
+    n, words, step = 3, rng.random((6, 3)) + 0.1, rng.random((3, 3)) + 0.1
+    exact = language_id.marginals([w[None] for w in words], step)[2]
+    # Lanes of 3, 2 and 1 words of one row, longest first.
+    parts = [words[:3], words[3:5], words[5:]]
+    steps = [np.stack([p[t] for p in parts if len(p) > t]) for t in range(3)]
+    matrices = language_id.products(steps, step, np.array([True, False, False]))
+    borders = language_id.border_messages(matrices, step, [np.arange(3)])
+    found = language_id.marginals(steps, step, *borders)[2]
+    got = [found[t][i] for i, p in enumerate(parts) for t in range(len(p))]
+    assert np.allclose(got, [e[0] for e in exact], rtol=0, atol=1e-12)
+
+
+def test_sampled_rows_are_learned_from_their_first_to_their_last_word(spark):
+    rows = [(i, " ".join(["zzyzx"] * 3000 + [fixtures.words(i, 3, "abc"), "qqvist"]), "aa") for i in range(4)]
+    rows += [(10 + i, fixtures.words(i, 30, "def"), "bb") for i in range(4)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    import pyarrow as pa
+
+    from reviewmill.llm import arrays
+    from reviewmill.llm.decontamination import words_of
+
+    last = words_of(next(arrays.slices(pa.array(["qqvist"]))))[4]
+    assert np.isin(last, model.lexicon).all()
