@@ -224,3 +224,58 @@ walk AS (
 SELECT f.word, form, root, n, n_near, form_n FROM formed f JOIN (SELECT word AS w, root FROM walk) r
   ON r.w = f.word
 """
+
+ORACLES["op1_minhash_near_dedup"] = r"""
+WITH split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0b\f\r]+'), lambda x: x <> '') AS words FROM documents),
+pairs_of_words AS (
+  SELECT doc_id, array_to_string(words[k:k + 1], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(2, len(words)))) AS k FROM split WHERE len(words) > 0)),
+sets AS MATERIALIZED (
+  SELECT doc_id, list(DISTINCT md5_number(shingle) ORDER BY md5_number(shingle)) AS members
+  FROM pairs_of_words GROUP BY doc_id),
+named AS MATERIALIZED (SELECT doc_id, len(members) AS n, min(doc_id) OVER (PARTITION BY members) AS first, members FROM sets),
+entries AS MATERIALIZED (SELECT doc_id AS doc, n, unnest(members) AS member FROM named WHERE doc_id = first),
+links AS MATERIALIZED (
+  SELECT a.doc AS a, b.doc AS b
+  FROM entries a JOIN entries b ON a.member = b.member AND a.doc < b.doc AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc, a.n, b.doc, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reached AS (
+  WITH RECURSIVE r(node, other) AS (
+    SELECT first, first FROM named
+    UNION SELECT r.node, l.b FROM r JOIN (SELECT a, b FROM links UNION ALL SELECT b, a FROM links) l ON l.a = r.other)
+  SELECT node, min(other) AS root FROM r GROUP BY node)
+SELECT s.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(root, s.doc_id) AS component_id,
+       coalesce(root, s.doc_id) = s.doc_id AS kept
+FROM split s LEFT JOIN named USING (doc_id) LEFT JOIN reached ON node = first
+"""
+
+ORACLES["op9_substring_dedup"] = r"""
+WITH bodies AS MATERIALIZED (
+  SELECT doc_id, encode(coalesce(text, '')) AS body FROM documents),
+windows AS MATERIALIZED (
+  SELECT doc_id, i, md5(body[i:i + 99]) AS name
+  FROM (SELECT doc_id, body, unnest(range(1, octet_length(body) - 98)) AS i FROM bodies)),
+firsts AS MATERIALIZED (
+  SELECT name, min((doc_id, i)) AS first FROM windows GROUP BY name HAVING count(*) > 1),
+starts AS (
+  SELECT doc_id, i FROM windows JOIN firsts USING (name) WHERE (doc_id, i) <> first),
+opened AS (
+  SELECT doc_id, i, i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100, 0) AS opens FROM starts),
+numbered AS (
+  SELECT doc_id, i, sum(CAST(opens AS INT)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM opened),
+runs AS MATERIALIZED (
+  SELECT doc_id, min(i) AS s, max(i) + 100 AS e FROM numbered GROUP BY doc_id, run),
+pieces AS (
+  SELECT doc_id, s AS upto, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 1) AS since FROM runs
+  UNION ALL SELECT b.doc_id, octet_length(body) + 1, coalesce(max(e), 1)
+  FROM bodies b LEFT JOIN runs USING (doc_id) GROUP BY b.doc_id, body),
+kept AS (
+  SELECT doc_id, string_agg(CASE WHEN upto > since THEN hex(body[since:upto - 1]) ELSE '' END, '' ORDER BY upto) AS left_hex
+  FROM pieces JOIN bodies USING (doc_id) GROUP BY doc_id),
+counted AS (SELECT doc_id, count(*) AS n, sum(e - s) AS cut FROM runs GROUP BY doc_id)
+SELECT b.doc_id, CAST(octet_length(body) AS BIGINT) AS n_bytes, CAST(coalesce(cut, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n, 0) AS BIGINT) AS n_spans, sha256(unhex(left_hex)) AS kept_sha256
+FROM bodies b JOIN kept USING (doc_id) LEFT JOIN counted USING (doc_id)
+"""
