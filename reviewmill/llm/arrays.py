@@ -239,15 +239,23 @@ def gathered(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
 
 
-def sent(spark, value):
+class sent:
     """Broadcast a value of bounded size; the result, called inside a task, gives the value."""
-    import pickle
 
-    from pyspark import cloudpickle
+    def __init__(self, spark, value):
+        from pyspark import cloudpickle
 
-    # Pickled here, so that classes of these modules go along with it.
-    packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
-    return lambda: pickle.loads(packed.value)
+        # Pickled here, so that classes of these modules go along with it.
+        self.packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def __call__(self):
+        import pickle
+
+        return pickle.loads(self.packed.value)
+
+    def destroy(self) -> None:
+        """Free it everywhere, once no job needs it, not even to run a lost task again."""
+        self.packed.destroy()
 
 
 def fresh(columns: list[str], name: str) -> str:

@@ -7,16 +7,20 @@ tokens; a hit at some place gives the one place where the window can start, whic
 document with the window's whole length; there the words are compared, first as hashes and then as text.
 
 Windows are broadcast in blocks of at most about ``BLOCK_BYTES``, so a benchmark of any size is
-covered, each block by a pass over the documents; documents are never shuffled.
+covered, each block by a pass over the documents. The hits of a block are written and its broadcast is
+destroyed before the next one; texts are never shuffled to be searched. The items of a window stay in a table
+and are joined to the sets of windows that were hit.
 
 Words are runs of ASCII letters, digits and bytes beyond ASCII, A-Z in lower case. Null and empty
-texts have no words; an item without words has no window; a null item id is an empty string; each
-row gets a row, whatever its id; other columns are left out.
+texts have no words; an item without words has no window; a null item id is an item of its own, written as
+an empty string; each row gets a row, whatever its id (rows are told apart by id and a 64-bit hash of the text,
+rows equal in both have equal hits); other columns are left out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +29,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.llm import arrays
 from reviewmill.llm.arrays import U64
+from reviewmill.llm.joins import join_counted, join_salted
 from reviewmill.session import materialise
 
 WINDOW = 10
@@ -43,7 +48,7 @@ def words_of(some: arrays.Slice):
 
 
 def windows(benchmark: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """``(text, items)``: the distinct windows as words with single spaces, and the items that hold them."""
+    """``(text, item)``: each item's distinct windows as words with single spaces."""
 
     def cut(batches, schema):
         for rows in batches:
@@ -62,14 +67,10 @@ def windows(benchmark: DataFrame, size: int, id_col: str, text_col: str) -> Data
                 )
 
     items = benchmark.select(
-        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"),
+        F.col(id_col).cast("string").alias("item"),
         F.col(text_col).alias("body"),
     )
-    return (
-        arrays.over(items, cut, "item string, text string", ["item", "body"])
-        .groupBy("text")
-        .agg(F.collect_set("item").alias("items"))
-    )
+    return arrays.over(items, cut, "item string, text string", ["item", "body"]).distinct()
 
 
 class Block:
@@ -77,7 +78,7 @@ class Block:
 
     def __init__(self, rows: list, size: int):
         self.texts = [r["text"].encode() for r in rows]
-        self.items = [r["items"] for r in rows]
+        self.ids = np.array([r["window"] for r in rows], np.int64)
         column = pa.array([r["text"] for r in rows], pa.string())
         self.length = np.zeros(len(rows), np.int64)
         self.words = np.zeros((len(rows), size), U64)
@@ -177,46 +178,107 @@ def matched(
     item_col="item_id", item_text_col="text", block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``(doc_id, n_words, starts, ends, items)``: the hit word ranges of each row and their items."""
-    rows = docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"),
-        F.col(text_col).alias("text"),
-        F.lit(0).cast("bigint").alias("n_words"),
-        *[F.array().cast("array<int>").alias(c) for c in ("starts", "ends")],
-        F.array().cast("array<string>").alias("items"),
+    texts = docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text")
     )
-    for get, last in blocks(docs, benchmark, size, text_col, item_col, item_text_col, block_bytes):
-        rows = arrays.over(
-            rows, _finder(get, last),
-            "doc_id bigint, text string, n_words bigint, starts array<int>, ends array<int>, items array<string>",
-            rows.columns,
+    held = materialise(windows(benchmark, size, item_col, item_text_col), "item-windows")
+    known = numbered(held)
+    parts = []
+    for get, _ in blocks(texts, known, block_bytes):
+        found = arrays.over(
+            texts, _finder(get, every=not parts),
+            "doc_id bigint, tie bigint, n_words bigint, starts array<int>, ends array<int>, windows array<bigint>",
+            ["doc_id", "tie", "text"],
         )
-    return rows.drop("text")
+        parts.append(materialise(found, "hits"))
+        get.destroy()
+    # The first pass wrote every row, the others those with hits. Repeated rows have the same hits.
+    some = [part.drop("n_words").where(F.size("windows") > 0).distinct() for part in parts]
+    met = materialise(
+        reduce(DataFrame.unionByName, some).groupBy("doc_id", "tie").agg(
+            *(F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "ends")),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("windows")))).alias("windows"),
+        ),
+        "hit-rows",
+    )
+    named = materialise(
+        join_counted(met, items_of(met, held, known), ["windows"], "rows")
+        .select(F.col("doc_id").alias("hit_id"), F.col("tie").alias("hit_tie"), "starts", "ends", "items"),
+        "hit-items",
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("tie") == F.col("hit_tie"))
+    none = F.array()
+    return parts[0].select("doc_id", "tie", "n_words").join(named, same, "left").select(
+        "doc_id",
+        "n_words",
+        *(F.coalesce(c, none.cast("array<int>")).alias(c) for c in ("starts", "ends")),
+        F.coalesce("items", none.cast("array<string>")).alias("items"),
+    )
 
 
-def blocks(
-    docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, text_col="text",
-    item_col="item_id", item_text_col="text", block_bytes: int = BLOCK_BYTES,
-):
-    """The benchmark's windows in broadcast blocks with their prefixes chosen: (getter, whether last)."""
-    found = materialise(windows(benchmark, size, item_col, item_text_col), "windows")
-    weight = F.octet_length("text") + F.size("items") * 24 + 200
-    total = found.agg(F.sum(weight.cast("bigint"))).first()[0] or 0
+def numbered(held: DataFrame) -> DataFrame:
+    """``(text, met, window)``: the distinct windows with the number of their items, and a number each."""
+    distinct = held.groupBy("text").agg(F.count(F.lit(1)).alias("met"))
+    return materialise(distinct.withColumn("window", F.monotonically_increasing_id()), "windows")
+
+
+def items_of(met: DataFrame, held: DataFrame, known: DataFrame) -> DataFrame:
+    """``(windows, rows, items)``: the distinct items of each set of windows that some row has."""
+    sets = materialise(met.groupBy("windows").agg(F.count(F.lit(1)).alias("rows")), "window-sets")
+    one = materialise(sets.select("windows", F.explode("windows").alias("window")), "set-windows")
+    # Items of windows that nobody has stay behind.
+    items = join_counted(held, known, ["text"], "met").select("window", "item")
+    named = join_salted(one, items.join(one.select("window").distinct(), "window", "left_semi"), "window", "windows")
+    # As structs, since a null item counts.
+    lists = named.groupBy("windows").agg(F.collect_set(F.struct("item")).alias("items"))
+    texts = F.transform("items", lambda i: F.coalesce(i["item"], F.lit("")))
+    return materialise(
+        sets.join(lists, "windows").select("windows", "rows", F.array_sort(texts).alias("items")), "set-items"
+    )
+
+
+def blocks(texts: DataFrame, known: DataFrame, block_bytes: int):
+    """The windows in broadcast blocks with their prefixes chosen, and the number of blocks; destroy each after use."""
+    weight = F.octet_length("text") + 200
+    total = known.agg(F.sum(weight.cast("bigint"))).first()[0] or 0
     n_blocks = max(1, -(-total // block_bytes))
     for number in range(n_blocks):
         # Bounded: a share of the windows whose expected size is the block size.
-        some = found.where(F.pmod(F.xxhash64("text"), F.lit(n_blocks)) == number).collect()
-        block = Block(some, size)
-        block.choose(_counts(docs.select(F.col(text_col).alias("text")), block))
-        yield arrays.sent(docs.sparkSession, block), number == n_blocks - 1
+        some = known.where(F.pmod(F.xxhash64("text"), F.lit(n_blocks)) == number).select("text", "window").collect()
+        block = Block(some, size=max([1, *(r["text"].count(" ") + 1 for r in some)]))
+        block.choose(_counts(texts.select("text"), block))
+        yield arrays.sent(texts.sparkSession, block), n_blocks
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, text_col="text", **where) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that hold no window of the benchmark."""
+def clean(
+    docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, text_col="text", item_col="item_id",
+    item_text_col="text", block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no window of the benchmark.
+
+    One block filters the rows where they are. Of several, each writes the hashes of the texts that it meets, and
+    the rows with such texts are left out in one join.
+    """
     arrays.bounded_batches(docs.sparkSession)
-    rows = docs
-    for get, _ in blocks(docs, benchmark, size, text_col, **where):
-        rows = rows.where(_is_clean(get)(F.col(text_col)))
-    return rows
+    texts = docs.select(F.col(text_col).alias("text"))
+    known = numbered(materialise(windows(benchmark, size, item_col, item_text_col), "item-windows"))
+    keys = [arrays.fresh(docs.columns, f"text_key{i}") for i in (1, 2)]
+    hashes = [F.xxhash64(F.lit(i), F.col(text_col)).alias(key) for i, key in enumerate(keys)]
+    hit = []
+    for get, n_blocks in blocks(texts, known, block_bytes):
+        holds_none = _is_clean(get)(F.col(text_col))
+        if n_blocks == 1:
+            return docs.where(holds_none)
+        counted = docs.where(~holds_none).select(*hashes).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+        hit.append(materialise(counted, "hit-texts"))
+        get.destroy()
+    rows = arrays.fresh(docs.columns, "rows_hit")
+    bad = materialise(
+        reduce(DataFrame.unionByName, hit).groupBy(*keys).agg(F.max("rows").alias(rows)), "hit-texts"
+    )
+    return (
+        join_counted(docs.select("*", *hashes), bad, keys, rows, "left").where(F.col(rows).isNull()).select(*docs.columns)
+    )
 
 
 def _is_clean(get):
@@ -254,37 +316,42 @@ def _counts(texts: DataFrame, block: Block) -> np.ndarray:
     found = arrays.over(texts, count, "token bigint, n bigint", ["text"])
     for r in found.groupBy("token").agg(F.sum("n").alias("n")).collect():
         counts[r["token"]] = r["n"]
+    shared.destroy()
     return counts
 
 
-def _finder(shared, last: bool):
+def _finder(shared, every: bool):
+    """Rows with their hits in a block: every row, or only those with hits."""
+
     def find(batches, schema):
         block = shared()
         for rows in batches:
-            n_words, starts, ends, items = [], [], [], []
-            earlier = [rows.column(c) for c in ("starts", "ends", "items")]
+            out = {"row": [], "n_words": [], "starts": [], "ends": [], "windows": []}
             for some in arrays.slices(rows.column("text")):
                 counts, row, window, place = block.find(some)
-                n_words.append(counts)
-                bounds = np.searchsorted(np.sort(row), np.arange(len(counts) + 1))
                 order = np.argsort(row, kind="stable")
-                window, place = window[order], place[order]
-                for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
-                    old = [c[some.first + i].as_py() for c in earlier] if len(earlier[0].values) else [[], [], []]
-                    starts.append(old[0] + place[a:b].tolist())
-                    ends.append(old[1] + (place[a:b] + block.length[window[a:b]]).tolist())
-                    met = {item for w in window[a:b].tolist() for item in block.items[w]}
-                    items.append(sorted(met.union(old[2])))
-            texts = pa.nulls(len(rows), pa.string()) if last else rows.column("text")
+                row, window, place = row[order], window[order], place[order]
+                mine = np.arange(len(counts)) if every else np.unique(row)
+                edges = np.searchsorted(row, np.append(mine, len(counts)))
+                out["row"].append(some.first + mine)
+                out["n_words"].append(counts[mine])
+                offsets = pa.array(np.append(edges[:-1], len(row)), pa.int32())
+                for name, values, kind in (
+                    ("starts", place, pa.int32()),
+                    ("ends", place + block.length[window], pa.int32()),
+                    ("windows", block.ids[window], pa.int64()),
+                ):
+                    out[name].append(pa.ListArray.from_arrays(offsets, pa.array(values, kind)))
+            if not out["row"]:
+                continue
+            at = pa.array(np.concatenate(out["row"]), pa.int64())
             yield arrays.batch(
                 schema,
                 {
-                    "doc_id": rows.column("doc_id"),
-                    "text": texts,
-                    "n_words": np.concatenate(n_words) if n_words else [],
-                    "starts": starts,
-                    "ends": ends,
-                    "items": items,
+                    "doc_id": rows.column("doc_id").take(at),
+                    "tie": rows.column("tie").take(at),
+                    "n_words": np.concatenate(out["n_words"]),
+                    **{name: pa.concat_arrays(out[name]) for name in ("starts", "ends", "windows")},
                 },
             )
 
@@ -303,11 +370,10 @@ def verdicts(matches: DataFrame) -> DataFrame:
         ),
         lambda done: done["n"].cast("bigint"),
     )
-    items = F.array_sort("items")
     return matches.select(
         "doc_id",
         "n_words",
         covered.alias("n_hit"),
         F.size("items").cast("bigint").alias("n_items"),
-        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
     ).withColumn("contaminated", F.col("n_hit") > 0)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewmill.session import materialise
+
 
 def join_counted(facts: DataFrame, table: DataFrame, key: list[str], n: str, how: str = "inner") -> DataFrame:
     """``facts`` joined to ``table``, whose column ``n`` says how many facts have its key (pass both written).
@@ -24,3 +26,21 @@ def join_counted(facts: DataFrame, table: DataFrame, key: list[str], n: str, how
     taken = marked.where("_hot IS NOT NULL").select(*facts.columns, "_hot.*")
     rest = marked.where("_hot IS NULL").drop("_hot").join(table.where(F.col(n) <= share), key, how)
     return taken.unionByName(rest)
+
+
+def join_salted(facts: DataFrame, table: DataFrame, key: str, spread_by: str) -> DataFrame:
+    """``facts`` (pass them written) joined to ``table``, which may have several rows per key.
+
+    A key with more than a task's share of the facts is cut into pieces by ``spread_by``, and its table rows are
+    repeated once per piece; such keys are fewer than there are tasks.
+    """
+    tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = materialise(facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    hot = F.broadcast(
+        counts.where(F.col("_n") * tasks > total).select(key, F.ceil(F.col("_n") * tasks / total).cast("int").alias("_pieces"))
+    )
+    pieces = F.coalesce("_pieces", F.lit(1))
+    cut = facts.join(hot, key, "left").withColumn("_piece", F.pmod(F.xxhash64(spread_by), pieces).cast("int"))
+    repeated = table.join(hot, key, "left").withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    return cut.drop("_pieces").join(repeated.drop("_pieces"), [key, "_piece"]).drop("_piece")

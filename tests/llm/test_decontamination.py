@@ -38,8 +38,9 @@ def brute(text, benchmark, size=10):
         for k in range(len(words) - n + 1):
             if tuple(words[k : k + n]) in wanted:
                 hit.update(range(k, k + n))
-                met.add("" if item is None else str(item))
-    return len(words), len(hit), len(met), hashlib.sha256(",".join(sorted(met)).encode()).hexdigest(), bool(hit)
+                met.add(None if item is None else str(item))
+    listed = sorted("" if item is None else item for item in met)
+    return len(words), len(hit), len(met), hashlib.sha256(",".join(listed).encode()).hexdigest(), bool(hit)
 
 
 def result(rows):
@@ -74,6 +75,32 @@ def test_clean_keeps_columns(spark):
     assert sorted(map(str, clean)) == sorted(str(r["doc_id"]) for r in kept.collect())
 
 
+def test_clean_in_many_blocks(spark):
+    docs = fixtures.documents(spark)
+    kept = decontamination.clean(docs, benchmark(spark), block_bytes=500)
+    assert kept.columns == docs.columns
+    clean = [d for d, t in fixtures.texts() if not brute(t, items())[-1]]
+    assert sorted(map(str, clean)) == sorted(str(r["doc_id"]) for r in kept.collect())
+
+
+def test_null_and_empty_item_ids(spark):
+    """A null id and an empty id are two items; a window that many items share names them all."""
+    passage = fixtures.words(3, 30)
+    shared = [(None, passage), ("", passage), *((str(i), passage) for i in range(300))]
+    found = decontamination.verdicts(
+        decontamination.matched(
+            fixtures.documents(spark), spark.createDataFrame(shared, "item_id string, text string"), block_bytes=1500
+        )
+    )
+    assert result(found.collect()) == sorted((str(d), *brute(t, shared)) for d, t in fixtures.texts())
+
+
+def test_blocks_run_apart(spark):
+    """However many blocks there are, the result's plan has no Python stage left: their hits are written."""
+    found = decontamination.matched(fixtures.documents(spark), benchmark(spark), block_bytes=200)
+    assert "MapInArrow" not in found._jdf.queryExecution().toString()
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert decontamination.matched(fixtures.empty(spark), benchmark(spark)).collect() == []
