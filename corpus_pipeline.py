@@ -3,7 +3,7 @@
 Each stage takes and returns the columns of ``documents`` (the last one the packed pieces), works on every row
 of its predecessor, and is written before the next one reads it. ``n_chars`` follows the text. Rows
 with a null id are scored, cut, checked and packed like others, but never counted as near copies; of repeated
-rows with one id the near-copy stage leaves one. An empty table stays empty.
+rows with one id the near-copy stage leaves one, the one whose hash is smallest. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -42,9 +42,14 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves one document of each group of near copies, the one with the smallest id."""
+    row_key = arrays.fresh(docs.columns, "row_key")
+    named = docs.where("doc_id IS NOT NULL").withColumn(row_key, F.xxhash64(*docs.columns))
+    # Of several rows with one id always the same one.
+    rows = named.groupBy("doc_id").agg(F.min(row_key).alias(row_key))
     kept = near_dedup.components(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    one_each = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one_each.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    one_each = named.join(kept.join(rows, "doc_id"), ["doc_id", row_key], "left_semi")
+    one_each = one_each.dropDuplicates(["doc_id", row_key]).select(*docs.columns)
+    return one_each.unionByName(docs.where("doc_id IS NULL").select(*docs.columns))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
