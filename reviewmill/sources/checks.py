@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewmill.session import materialise
+
 _TERM = r"^(.+):(\d+)$"
 _HEADED = r"^#(-?\d+),(.*)$"
 _ENTRY = r"^\d+:[1-9]\d*$"
@@ -69,32 +71,50 @@ def vocabulary_problems(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _order(width: int):
+    """Of a line's indexes: whether one is not above its neighbour before, and whether one is no index of the vocabulary."""
+
+    def of(idx):
+        after = F.slice(idx, F.lit(2), F.greatest(F.size(idx), F.lit(1)))
+        falls = F.exists(F.zip_with(after, F.slice(idx, F.lit(1), F.greatest(F.size(idx) - 1, F.lit(0))), lambda b, a: b <= a), lambda x: x)
+        return F.struct(falls.alias("falls"), (F.array_max(idx) >= width).alias("too_large"))
+
+    return of
+
+
 def count_vector_problems(spark: SparkSession, path: str, documents: DataFrame, width: int) -> DataFrame:
     """What is wrong with a file of ``#id,idx:count,...`` lines, given the documents and the vocabulary's size.
 
     ``malformed`` lines; of the others ``unordered indexes`` (equal neighbours included), ``index too large``,
     ``repeated document`` (all its lines), ``unknown document``; and each ``missing document``, by its id.
     """
-    # Entry by entry: one pattern for a whole line would nest as deep as the line has entries.
+    # Entry by entry: one pattern for a whole line would nest as deep as the line has entries. The arrays are bound
+    # once per line, as an expression inside a lambda is computed for every element.
     body = F.regexp_extract("line", _HEADED, 2)
     entries = F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, ","))
-    read = _lines(spark, path).withColumn("_entries", entries)
-    good_line = F.col("line").rlike(_HEADED) & F.forall("_entries", lambda e: e.rlike(_ENTRY))
-    read = read.withColumn("_good", good_line)
-    good = read.where("_good").select(
+
+    def verdict(e):
+        first = F.transform(e, lambda x: F.substring_index(x, ":", 1).cast("bigint"))
+        return F.when(F.forall(e, lambda x: x.rlike(_ENTRY)), F.get(F.transform(F.array(first), _order(width)), F.lit(0)))
+
+    of_line = F.get(F.transform(F.array(entries), verdict), F.lit(0))
+    read = _lines(spark, path).select(
         "file", "line",
-        F.regexp_extract("line", _HEADED, 1).cast("bigint").alias("doc_id"),
-        F.transform("_entries", lambda e: F.split(e, ":")[0].cast("bigint")).alias("idx"),
+        F.when(F.col("line").rlike(_HEADED), of_line).alias("_verdict"),
+        F.regexp_extract("line", _HEADED, 1).alias("_id"),
     )
-    places = F.sequence(F.lit(1), F.size("idx") - 1)
-    falls = F.when(F.size("idx") > 1, F.exists(places, lambda i: F.get("idx", i) <= F.get("idx", i - 1)))
+    # Written, as every kind of problem reads it.
+    read = materialise(
+        read.select("file", "line", "_verdict.*", F.col("_verdict").isNotNull().alias("_good"), "_id"), "read-lines"
+    )
+    good = read.where("_good").withColumn("doc_id", F.col("_id").cast("bigint"))
     often = good.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
     known = documents.select("doc_id").distinct()
     return _all(
         [
             _problem(read.where("NOT _good"), "malformed"),
-            _problem(good.where(falls), "unordered indexes"),
-            _problem(good.where(F.array_max("idx") >= width), "index too large"),
+            _problem(good.where("falls"), "unordered indexes"),
+            _problem(good.where("too_large"), "index too large"),
             _problem(good.join(often, "doc_id"), "repeated document"),
             _problem(good.join(known, "doc_id", "left_anti"), "unknown document"),
             _problem(known.join(good, "doc_id", "left_anti"), "missing document", "doc_id", F.lit(None).cast("string")),

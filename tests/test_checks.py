@@ -4,6 +4,7 @@ import math
 import os
 import subprocess
 import sys
+import time
 from pathlib import Path
 
 from pyspark.ml.linalg import Vectors
@@ -167,3 +168,19 @@ def test_entry_point_without_the_optional_part(tmp_path):
         env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
         done = subprocess.run([sys.executable, "-c", code], cwd=home, env=env, capture_output=True, text=True, timeout=120)
         assert done.returncode == 0, done.stderr
+
+
+def test_long_lines_of_counts_are_checked_in_one_pass(spark):
+    n = 40_000
+    good = ",".join(f"{i}:1" for i in range(n))
+    path = fresh_path(spark, "long-lines")
+    lines = [f"#1,{good}", f"#2,{good},{n - 1}:2", f"#3,{good},{n}:1", f"#4,{good},x", "#5,"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    documents = spark.range(1, 6).withColumnRenamed("id", "doc_id")
+    began = time.monotonic()
+    found = checks.count_vector_problems(spark, path, documents, n).collect()
+    # Arrays computed anew for every entry took time by the square of a line's entries.
+    assert time.monotonic() - began < 60
+    assert sorted((r["reason"], r["line"][:3]) for r in found) == [
+        ("index too large", "#3,"), ("malformed", "#4,"), ("missing document", "4"), ("unordered indexes", "#2,"),
+    ]
