@@ -66,3 +66,12 @@ def test_a_long_document_is_averaged_in_parts(spark, monkeypatch):
     known = spark.range(100).select(F.col("id").alias("term"), F.array(F.col("id").cast("float")).alias("vector"))
     monkeypatch.setattr(vectors, "ROWS_AT_ONCE", 7)
     assert [r["vector"] for r in vectors.mean_vectors(docs, pairs, known).collect()] == [[49.5], [49.5]]
+
+
+def test_models_of_means_average_labelled_reviews_alone(spark, passes):
+    labels = queries._labelled(spark, SF).where("doc_id % 2 = 0")
+    some = {r["doc_id"]: r["vector"] for r in queries._body_means(spark, SF, False, labels).collect()}
+    every = {r["doc_id"]: r["vector"] for r in queries._body_means(spark, SF, False).collect()}
+    assert set(some) == {r["doc_id"] for r in labels.collect()}
+    assert all(vector == pytest.approx(every[doc_id]) for doc_id, vector in some.items())
+    assert passes[0].count() < passes[1].count()
