@@ -75,3 +75,9 @@ def test_models_of_means_average_labelled_reviews_alone(spark, passes):
     assert set(some) == {r["doc_id"] for r in labels.collect()}
     assert all(vector == pytest.approx(every[doc_id]) for doc_id, vector in some.items())
     assert passes[0].count() < passes[1].count()
+
+
+def test_counts_of_some_documents_are_theirs_among_all(spark):
+    words, some = queries._words(spark, SF), queries._labelled(spark, SF).where("doc_id % 3 = 0")
+    mine = sorted(map(tuple, words.counts_among(some.unionByName(some)).collect()))
+    assert mine and mine == sorted(map(tuple, words.counts.join(some.select("doc_id"), "doc_id", "left_semi").collect()))
