@@ -81,3 +81,18 @@ def test_counts_of_some_documents_are_theirs_among_all(spark):
     words, some = queries._words(spark, SF), queries._labelled(spark, SF).where("doc_id % 3 = 0")
     mine = sorted(map(tuple, words.counts_among(some.unionByName(some)).collect()))
     assert mine and mine == sorted(map(tuple, words.counts.join(some.select("doc_id"), "doc_id", "left_semi").collect()))
+
+
+def test_stacks_are_counted_like_blocks_side_by_side(spark):
+    def block(rows, width):
+        return Block(spark.createDataFrame(rows, "doc_id bigint, idx bigint, value double"), width)
+
+    a, b = block([(1, 0, 1.0), (1, 2, 1.0), (2, 1, 0.0)], 3), block([(1, 0, 1.0), (3, 1, 2.0)], 2)
+    none = block([], 4)
+    docs = spark.range(5).withColumnRenamed("id", "doc_id")
+    stacks = {"a": ["a"], "b": ["b"], "none": ["none"], "all": ["a", "b", "none"]}
+    rows = {r["block"]: r[1:] for r in features.stacked_stats(docs, {"a": a, "b": b, "none": none}, stacks).collect()}
+    side = features.side_by_side([a, b, none])
+    for name, alone in {"a": a, "b": b, "none": none, "all": side}.items():
+        assert rows[name] == tuple(features.block_stats(docs, alone).first())
+    assert rows["all"] == (5, 9, 4, 2)
