@@ -29,7 +29,7 @@ def passes(monkeypatch):
     return seen
 
 
-@pytest.mark.parametrize("name", ["weighted_vectors", "title_weighted_vectors", "infold_tfidf"])
+@pytest.mark.parametrize("name", ["weighted_vectors", "title_weighted_vectors", "consolidate", "infold_tfidf"])
 def test_no_pairs_of_forms_are_written(spark, name):
     _, labels = written_by(lambda: queries.REGISTERED[name](spark, SF))
     assert labels and "stemmed-pairs" not in labels
